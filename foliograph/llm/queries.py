@@ -5,12 +5,14 @@ from __future__ import annotations
 from foliograph.llm.bpe_dp import op10_bpe_codec
 from foliograph.llm.decision_list import op8_quality_rules
 from foliograph.llm.language_id import op3_language_id
+from foliograph.llm.order_minhash import op7_near_duplicates
 from foliograph.llm.rule_ensemble import op9_quality_scores
 from foliograph.llm.token_count import op4_token_counts
 
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
