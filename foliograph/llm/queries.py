@@ -6,10 +6,12 @@ from foliograph.llm.bpe_dp import op10_bpe_codec
 from foliograph.llm.decision_list import op8_quality_rules
 from foliograph.llm.language_id import op3_language_id
 from foliograph.llm.order_minhash import op7_near_duplicates
+from foliograph.llm.rp_forest import op1_embedding_neardup
 from foliograph.llm.rule_ensemble import op9_quality_scores
 from foliograph.llm.token_count import op4_token_counts
 
 QUERIES = {
+    "op1_embedding_neardup": op1_embedding_neardup,
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op7_near_duplicates": op7_near_duplicates,
