@@ -27,14 +27,20 @@ def crc_bucket(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % modulus
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a replicated checkpoint in the folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     A session without that setting (tests, a single machine) gets a temporary folder of its own.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -24,14 +24,13 @@ from pyspark.sql import functions as F
 
 from foliograph.llm._common import table, words
 
-#: Permitted lengths with their costs. A sequence costs its length and a fixed overhead, so longer ones come cheaper.
 LENGTHS = (256, 512, 1024, 2048)
-OVERHEAD = 16
 SHARD = 20_000
 
 
-def cost(length: int) -> int:
-    return length + OVERHEAD
+def cost(length: int) -> float:
+    """What a sequence costs: its length, attention that grows with its square, and a fixed overhead."""
+    return length + length * length / 8192 + 16
 
 
 def best_fit(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS) -> tuple[list[int], list[int], list[int]]:

@@ -8,6 +8,7 @@ from foliograph.llm.html_text import op5_html_extraction
 from foliograph.llm.language_id import op3_language_id
 from foliograph.llm.order_minhash import op7_near_duplicates
 from foliograph.llm.packing import op2_best_fit_packing
+from foliograph.llm.pii import op6_pii_surrogates
 from foliograph.llm.rp_forest import op1_embedding_neardup
 from foliograph.llm.rule_ensemble import op9_quality_scores
 from foliograph.llm.token_count import op4_token_counts
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_html_extraction": op5_html_extraction,
+    "op6_pii_surrogates": op6_pii_surrogates,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_scores": op9_quality_scores,
