@@ -1 +1,2 @@
 
+"""Queries over the driver's tables."""
