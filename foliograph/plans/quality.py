@@ -151,8 +151,8 @@ def snk2(spark, sf_dir):
 
 @query(
     "set6_four_way_diff",
-    """WITH spans AS (SELECT DISTINCT l_orderkey AS case_id, l_linenumber AS label, l_linenumber * 10 AS s, l_linenumber * 10 + CAST(l_quantity AS INTEGER) AS e, l_returnflag AS f, l_linestatus AS st FROM lineitem),
-    b AS (SELECT DISTINCT case_id, label, s, e FROM spans WHERE f <> 'A'), a AS (SELECT DISTINCT case_id, CASE WHEN st = 'F' THEN label + 100 ELSE label END AS label, s, e FROM spans WHERE f <> 'N'),
+    """WITH spans AS (SELECT DISTINCT l_orderkey AS case_id, l_linenumber AS label, l_linenumber * 10 AS s, l_linenumber * 10 + CAST(l_quantity AS INTEGER) AS e, l_returnflag AS f FROM lineitem),
+    b AS (SELECT DISTINCT case_id, label, s, e FROM spans WHERE f <> 'A'), a AS (SELECT DISTINCT case_id, CASE WHEN label >= 4 THEN label + 100 ELSE label END AS label, s, e FROM spans WHERE f <> 'N'),
     k AS (SELECT CASE WHEN a.label IS NULL THEN 'removed' WHEN b.label IS NULL THEN 'added' WHEN a.label = b.label THEN 'exact' ELSE 'label_changed' END AS kind FROM b FULL JOIN a ON a.case_id = b.case_id AND a.s = b.s AND a.e = b.e)
     SELECT kind, count(*) AS n FROM k GROUP BY 1""",
 )
@@ -162,7 +162,7 @@ def set6(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     place = [F.col("l_orderkey").alias("case_id"), start, (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int")).alias("e")]
     before = lines.where("l_returnflag <> 'A'").select(label, *place).distinct()
-    after = lines.where("l_returnflag <> 'N'").select(F.when(F.col("l_linestatus") == "F", label + 100).otherwise(label).alias("label"), *place).distinct()
+    after = lines.where("l_returnflag <> 'N'").select(F.when(F.col("l_linenumber") >= 4, F.col("l_linenumber") + 100).otherwise(F.col("l_linenumber")).alias("label"), *place).distinct()
     return records.four_way(before, after).groupBy("kind").agg(F.count("*").alias("n"))
 
 
@@ -191,13 +191,13 @@ def mth4(spark, sf_dir):
 
 @query(
     "jn7_member_in_office",
-    PRELUDE + """, t AS (SELECT member, (member - 1) // 3 AS name, min(d) AS s, max(d) AS e FROM votes GROUP BY ALL), c AS (SELECT DISTINCT case_id, d, (member - 1) // 3 AS name FROM votes),
+    PRELUDE + """, t AS (SELECT member, member // 3 AS name, min(d) AS s, max(d) AS e FROM votes GROUP BY ALL), c AS (SELECT DISTINCT case_id, d, member // 3 AS name FROM votes),
     r AS (SELECT case_id, c.name, member, row_number() OVER (PARTITION BY case_id, c.name ORDER BY (s - 365 <= d AND d <= e + 730) DESC, s DESC, member) AS rn FROM c JOIN t ON t.name = c.name)
     SELECT case_id, name, member FROM r WHERE rn = 1""",
 )
 def jn7(spark, sf_dir):
     """As-of disambiguation: of the members who share a name the one in office, else the latest."""
-    name = F.floor((F.col("member") - 1) / 3).alias("name")
+    name = F.floor(F.col("member") / 3).alias("name")
     v = votes(spark, sf_dir)
     terms = v.groupBy("member").agg(F.min("date").alias("s"), F.max("date").alias("e")).select("member", name, "s", "e")
     asked = v.select("case_id", "date", name).distinct()
