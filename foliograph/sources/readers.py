@@ -15,7 +15,8 @@ CASE_CSV = "volume STRING, case_number STRING, division STRING, date STRING, pon
 
 def volumes(spark: SparkSession, path: str) -> DataFrame:
     """(volume_name, vol_num, text, mtime) of ``Volume_<n>.txt`` and the like; of several spellings the first wins."""
-    name = F.regexp_extract("_metadata.file_name", r"([^/]+?)(?:\.txt)?$", 1)
+    # the metadata column escapes file names as in a URL
+    name = F.regexp_extract(F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))), r"([^/]+?)(?:\.txt)?$", 1)
     files = spark.read.text(path, wholetext=True).select(name.alias("volume_name"), F.col("value").alias("text"), F.col("_metadata.file_modification_time").alias("mtime"))
     number = F.regexp_extract("volume_name", r"(\d+)", 1).try_cast("int")
     rank = F.when(F.col("volume_name").startswith("Volume_"), 0).when(F.col("volume_name").startswith("Volume "), 1).otherwise(2)
