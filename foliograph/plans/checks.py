@@ -126,7 +126,7 @@ def win5(spark, sf_dir):
 
 @query(
     "win6_order_check",
-    """WITH g AS (SELECT l_orderkey AS case_id, l_linenumber AS at, min(l_suppkey) AS ord FROM lineitem GROUP BY 1, 2), k AS (SELECT case_id, ord < lag(ord) OVER (PARTITION BY case_id ORDER BY at) AS down FROM g)
+    """WITH g AS (SELECT l_orderkey AS case_id, l_linenumber AS pos, min(l_suppkey) AS ord FROM lineitem GROUP BY 1, 2), k AS (SELECT case_id, ord < lag(ord) OVER (PARTITION BY case_id ORDER BY pos) AS down FROM g)
     SELECT case_id, count(*) FILTER (down) AS n_out_of_order FROM k GROUP BY 1""",
 )
 def win6(spark, sf_dir):
@@ -149,8 +149,8 @@ def win10(spark, sf_dir):
     "win8_stability",
     PRELUDE + """, c AS (SELECT k, member, CASE WHEN count(*) FILTER (role = 'dissent') * 4 >= count(*) THEN 'x' ELSE any_value(bloc) END AS com FROM placed GROUP BY 1, 2),
     s AS (SELECT a.k, a.member, a.com AS cur, b.com AS prev FROM c a JOIN c b ON b.k = a.k - 1 AND b.member = a.member),
-    n AS (SELECT k, cur, prev, count(*) AS both FROM s GROUP BY ALL), x AS (SELECT k, cur, sum(both) AS n_cur FROM n GROUP BY ALL), y AS (SELECT k, prev, sum(both) AS n_prev FROM n GROUP BY ALL),
-    j AS (SELECT k, cur, max(both / (n_cur + n_prev - both)) AS best FROM n JOIN x USING (k, cur) JOIN y USING (k, prev) GROUP BY ALL)
+    n AS (SELECT k, cur, prev, count(*) AS met FROM s GROUP BY ALL), x AS (SELECT k, cur, sum(met) AS n_cur FROM n GROUP BY ALL), y AS (SELECT k, prev, sum(met) AS n_prev FROM n GROUP BY ALL),
+    j AS (SELECT k, cur, max(met / (n_cur + n_prev - met)) AS best FROM n JOIN x USING (k, cur) JOIN y USING (k, prev) GROUP BY ALL)
     SELECT k, round(avg(best), 4) AS stability FROM j GROUP BY 1""",
 )
 def win8(spark, sf_dir):
