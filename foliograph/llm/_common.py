@@ -39,9 +39,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder."""
+    """Cut the lineage with a checkpoint in the shared folder.
+
+    Executors delete the shuffle files of earlier steps once the driver has collected what referred to them; asking
+    for that here keeps a job of many rounds from holding the files of all of them.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cut = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return cut
 
 
 def components(edges: DataFrame) -> DataFrame:
