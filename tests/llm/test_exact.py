@@ -140,6 +140,18 @@ def test_near_duplicates_by_brute_force(spark):
     assert all(r.kept == (i == r.class_id) for i, r in got.items())
 
 
+def test_near_duplicates_chained(spark):
+    """Texts cut short step by step: the middle ones match their buckets' leaders, the short ones only the middle ones."""
+    draw = random.Random(97)  # of which all shared sketches lie in buckets of more than SMALL that a long text leads
+    words, texts = [f"c{draw.randrange(10**9)}" for _ in range(110)], {}
+    for cut in (110, 98, 83):
+        for _ in range(12):
+            texts[len(texts)] = " ".join(words[:cut] + [f"e{draw.randrange(10**9)}" for _ in range(2)])
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(rows).collect()}
+    assert got == brute_classes(texts) and set(got.values()) == {0}
+
+
 def test_near_duplicates_edges(docs, empty):
     rows = order_minhash.near_duplicates(docs).collect()
     assert len(rows) == docs.count()
