@@ -2,9 +2,11 @@
 
 Each entity found gets a keyed replacement that keeps its kind and format: digits stay digits, letters keep their
 case and script, separators stay where they are, numbers with a check digit keep it valid or invalid, first names
-keep their gender. The replacement is a keyed permutation of all values of that format, so the same value is replaced
-alike everywhere (coreference) and different values differently. Names are replaced word by word, so a surname alone
-follows the full name.
+keep their gender, initials stay initials. The replacement is a keyed permutation of all values of that format, so the same value is replaced
+alike everywhere (coreference) and different values differently. Names are replaced word by word, and a surname that a
+document holds in a name is replaced wherever else it stands in that document, so a surname alone follows the full name.
+Names without a title are found by the first names of ``FIRST`` only. IPv6 addresses of under four digits (loopback and
+the like) are nobody's and stay.
 
 Collision checks run over the corpus: a surrogate that is itself a value of the corpus, or that two values share, is
 drawn again for the later of them until none is left. The few that were drawn again go to their documents by a join.
@@ -16,6 +18,7 @@ stays null, an empty one empty; repeated rows are replaced alike; all other colu
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +32,7 @@ from foliograph.llm._common import durable, table
 #: Replace by a secret in earnest; whoever has the key can undo the surrogates.
 KEY = b"surrogate-key"
 
+GROUP = "[0-9A-Fa-f]{1,4}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: First names by script and gender, from common names that are no common words.
 FIRST = {
@@ -43,7 +47,10 @@ SYLLABLES = {
 }
 TITLES = r"Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sra"
 UPPER, LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
-SURNAME = rf"[{UPPER}][{LOWER}]+(?:-[{UPPER}][{LOWER}]+)?"
+#: Smith, McDonald, O'Brien, Smith-Jones.
+_PART = rf"(?:[{UPPER}]['’])?(?:[{UPPER}][{LOWER}]+)+"
+SURNAME = rf"{_PART}(?:-{_PART})?"
+INITIAL = rf"(?:[{UPPER}]\.|[B-HJ-Z])"
 GIVEN = "|".join(sorted((n for names in FIRST.values() for n in names), key=len, reverse=True))
 
 #: Kinds in order of precedence where they start at the same place.
@@ -51,20 +58,21 @@ ENTITY = re.compile(
     rf"""
       (?P<email>(?<![\w.+%-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
     | (?P<ip>(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d))
-    | (?P<ipv6>(?<![\w:])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}(?![\w:]))
+    | (?P<ipv6>(?<![\w:])(?:(?:{GROUP}:){{7}}{GROUP}|(?:{GROUP}:){{1,6}}(?::{GROUP}){{1,6}}|(?:{GROUP}:){{1,7}}:|::(?:{GROUP}:){{0,6}}{GROUP})(?![\w:]))
     | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:\ ?[A-Z0-9]{{4}}){{3,7}}(?:\ ?[A-Z0-9]{{1,3}})?\b)
     | (?P<ssn>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
     | (?P<card>(?<![\d.])\d(?:[\ -]?\d){{12,18}}(?!\d))
-    | (?P<phone>(?<![\w.+])(?:\+\d{{1,3}}[\ .-]?\(?\d{{2,4}}\)?(?:[\ .-]?\d{{2,4}}){{2,4}}|\(\d{{3}}\)\ ?\d{{3}}[\ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?!\w))
+    | (?P<phone>(?<![\w.+])(?:\+\d{{1,3}}[\ .-]?\(?\d{{2,4}}\)?(?:[\ .-]?\d{{2,4}}){{2,4}}|\(\d{{3}}\)\ ?\d{{3}}[\ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}
+        |(?:1\ )?[2-9]\d{{2}}\ [2-9]\d{{2}}\ \d{{4}}(?!\ ?\d)|(?=(?:\ ?\d){{9,12}}(?!\ ?\d))0\d{{1,4}}(?:\ \d{{2,4}}){{2,4}})(?!\w))
     | (?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{{16}}\b)
     | \b(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*["']?(?P<secret>[A-Za-z0-9+/_.~-]{{6,}})
-    | \b(?:{TITLES})\.?\ (?P<titled>{SURNAME}(?:\ {SURNAME})?)
-    | \b(?P<name>(?:{GIVEN})\ {SURNAME})
+    | \b(?:{TITLES})\.?\ (?P<titled>(?:{INITIAL}\ )*{SURNAME}(?:(?:\ {INITIAL})*\ {SURNAME})?)
+    | \b(?P<name>(?:{GIVEN})(?:\ {INITIAL})*\ {SURNAME})
     """,
     re.X,
 )
 #: What a text must hold for ``ENTITY`` to find anything.
-HINT = re.compile(rf"[@\d]|(?i:passw|pwd|secret|token|key)|\b(?:{TITLES}|{GIVEN})\b")
+HINT = re.compile(rf"[@\d]|::|(?i:passw|pwd|secret|token|key)|\b(?:{TITLES}|{GIVEN})\b")
 DIGITS, SMALL, LARGE, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
 
@@ -123,8 +131,10 @@ def normal(kind: str, found: str) -> str:
         return re.sub(r"\D", "", found)
     if kind == "phone":
         return re.sub(r"\D", "", found)[-10:]
-    if kind in ("email", "ipv6"):
+    if kind == "email":
         return found.lower()
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(found))
     return found.replace(" ", "") if kind == "iban" else found
 
 
@@ -157,7 +167,7 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "phone":
         got = value
         while True:
-            got = alike(got, tweak, key)
+            got = "0" + alike(got[1:], tweak, key) if value[0] == "0" else alike(got, tweak, key)
             if len(got) < 10 or got[0] not in "01" and got[3] not in "01" or value[0] in "01" or value[3] in "01":
                 return got
     if kind == "key":
@@ -166,9 +176,16 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         got = alike(value[4:], tweak + value[:2], key)
         return value[:2] + _iban_check(got + value[:2]) + got
     if kind == "ipv6":
-        return alike(value, tweak, key, True)
+        got = value
+        while True:
+            got = alike(got, tweak, key, True)
+            if str(ipaddress.IPv6Address(got)) == got:
+                return got
     if kind == "secret":
         return alike(value, tweak, key, all(c in HEX for c in value))
+    if kind == "given_initial":
+        letters = INITIALS[script(value)]
+        return letters[permute(letters.find(value) if value in letters else ord(value) % len(letters), len(letters), tweak, key)]
     if kind.startswith("given"):
         names = FIRST[script(value), kind[-1]]
         return names[permute(names.index(value), len(names), tweak, key)]
@@ -187,6 +204,7 @@ def _spell(n: int, size: int) -> list[str]:
     return out[::-1]
 
 
+INITIALS = {"latin": LARGE, "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
 GENDER = {n: g for (_, g), names in FIRST.items() for n in names}
 
 
@@ -194,17 +212,42 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, normal value) of each entity, in text order and without overlap; names word by word."""
     if not HINT.search(text):
         return
+    found = list(_matched(text))
+    surnames = {value for _, _, kind, value in found if kind == "surname"}
+    if not surnames:
+        yield from found
+        return
+    bare = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(surnames, key=len, reverse=True)))})(?!\w)")
+    at = 0
+    for one in [*found, (len(text), len(text), "", "")]:
+        for m in bare.finditer(text, at, one[0]):  # a boundary is looked for in the text as a whole
+            if m.end() < one[0] or not text[m.end() : m.end() + 1].isalnum():
+                yield m.start(), m.end(), "surname", m[0]
+        if one[2]:
+            yield one
+        at = one[1]
+
+
+def _matched(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """What ``ENTITY`` finds and its checks leave."""
     for m in ENTITY.finditer(text):
         kind = m.lastgroup
         start, end = m.span(kind)
         if kind in ("titled", "name"):
-            for w in re.finditer(r"[^\s-]+", m[kind]):
+            for w in re.finditer(r"[^\s.-]+", m[kind]):
                 word = w[0]
-                yield start + w.start(), start + w.end(), f"given_{GENDER[word]}" if word in GENDER else "surname", word
+                yield start + w.start(), start + w.end(), f"given_{GENDER[word]}" if word in GENDER else "given_initial" if len(word) == 1 else "surname", word
         elif kind == "iban":
             value = normal(kind, m[kind])
             if 15 <= len(value) <= 34 and value[2:4] == _iban_check(value[4:] + value[:2]):
                 yield start, end, kind, value
+        elif kind == "ipv6":
+            try:
+                value = normal(kind, m[kind])
+            except ValueError:
+                continue
+            if sum(c in HEX for c in value) >= 4:
+                yield start, end, kind, value
         else:
             yield start, end, kind, normal(kind, m[kind])
 
@@ -221,7 +264,12 @@ def dressed(kind: str, found: str, new: str) -> str:
         return "".join(out)
     if kind == "email" and not found.islower():
         return new.upper() if found.isupper() else "".join(n.upper() if f.isupper() else n for f, n in zip(found, new))
-    return new.upper() if kind == "ipv6" and found.isupper() else new
+    if kind == "ipv6":
+        if "::" not in found:
+            groups = ipaddress.IPv6Address(new).exploded.split(":")
+            new = ":".join(groups if re.search(r"\b0\w", found) else (g.lstrip("0") or "0" for g in groups))
+        return new.upper() if found.isupper() else new
+    return new
 
 
 @lru_cache(200_000)

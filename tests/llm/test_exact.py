@@ -213,6 +213,19 @@ def test_surrogates():
     assert pii.replaced("plain words, 12 of them, version 4.0", pii.KEY, {}) == ("plain words, 12 of them, version 4.0", 0)
 
 
+def test_surrogates_of_whole_names_and_spaced_numbers():
+    text = "James Smith came. Smith said that Smithson saw Smith's car. Mary R. Jones, James O'Brien, James McDonald and McDonald, too"
+    new, n = pii.replaced(text, pii.KEY, {})
+    assert n == 12 and not re.search(r"\bSmith\b|Jones|O'Brien|Brien|McDonald|Donald|\bR\.", new) and "Smithson" in new
+    smith = new.split()[1].rstrip(".")
+    assert new.count(smith) == 3 and f"{smith}'s car" in new and re.search(r" [A-Z]\. \w+,", new)
+    text = "2001:db8::1 or 2001:0db8:0:0:0:0:0:0001, call 456 555 2186 or 020 7946 0958 or 01 23 45 67 89 at 12:30, std::string, ::1"
+    new, n = pii.replaced(text, pii.KEY, {})
+    found = [x[2:] for x in pii.entities(new)]
+    assert [k for k, _ in found] == ["ipv6", "ipv6", "phone", "phone", "phone"] and found[0] == found[1] and n == 5
+    assert not any(x in new for x in ("2001:", "456 555 2186", "7946", "23 45 67 89")) and new.endswith("at 12:30, std::string, ::1")
+
+
 def test_permutation_is_one():
     for size in (2, 10, 97, 1000):
         assert sorted(pii.permute(v, size, "t", b"k") for v in range(size)) == list(range(size))
