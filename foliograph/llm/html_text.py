@@ -3,7 +3,8 @@
 A page becomes a flat list of text blocks, cut at block-level tags. Each block has its word count and link density,
 those of its neighbours, and where it stands (inside an article, inside something named as furniture, a heading).
 A decision tree grown from ``BLOCKS``, a small labelled table, says which blocks are main text. Those are joined in
-page order. Nothing is dropped for its length and nothing is cut.
+page order. Nothing is dropped for its length and nothing is cut. A name such as "sidebar" on what
+surrounds an article doesn't make the article furniture, nor does what a name says is elsewhere ("has-sidebar").
 
 A null or empty page has an empty text. Pages are independent of each other, so repeated rows give repeated
 results. Broken markup is read to its end: a tag left open ends with its parent, and what is not a tag is text.
@@ -26,10 +27,11 @@ from foliograph.llm._common import table
 from foliograph.llm.trees import Node, grow, share_of
 
 #: Elements whose contents are not text.
-HIDDEN = {"script", "style", "noscript", "template", "head", "svg", "math", "iframe", "object", "select", "textarea", "button", "canvas", "audio", "video", "datalist"}
+HIDDEN = {"script", "style", "noscript", "template", "head", "svg", "iframe", "object", "annotation", "select", "textarea", "button", "canvas", "audio", "video", "datalist"}
 RAW = {"script", "style", "textarea", "title"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q",
+    "math", "mfrac", "mi", "mn", "mo", "mover", "mrow", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "semantics",
     "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -46,6 +48,13 @@ NAMED = {
     "sponsor", "sponsored", "subscribe", "tags", "toolbar", "widget",
 }
 
+#: Of these, what has articles of its own (comments, teasers, adverts), so that an article inside is no main text.
+OWN = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "disqus", "promo", "promoted", "related", "replies", "respond", "sponsor", "sponsored",
+}
+#: What follows these in a name is said to be elsewhere on the page, or not there.
+ELSEWHERE = {"has", "with", "without", "no"}
+
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -65,27 +74,57 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
+def named_words(attributes: str) -> list[list[str]]:
+    """The words of each name in class, id and role, up to one of ``ELSEWHERE``."""
+    out = []
+    for found in NAMES.findall(attributes):
+        for token in found.strip("\"'").split():
+            words = [w.lower() for w in NAME_WORDS.findall(token)]
+            out.append(words[: next((k for k, w in enumerate(words) if w in ELSEWHERE), len(words))])
+    return out
+
+
 @dataclass
 class _Open:
     """Where the reader stands: the open elements and what they mean for text."""
 
     stack: list[tuple[str, bool, bool, bool, bool, bool]] = field(default_factory=lambda: [("", False, False, False, False, False)])
+    #: Why each open element is furniture: "" (it isn't), "layout" (a mere name), "header" (of an article) or "firm".
+    why: list[str] = field(default_factory=lambda: [""])
 
     def push(self, name: str, attributes: str) -> None:
-        _, hidden, furniture, main, heading, link = self.stack[-1]
-        named = False
+        _, hidden, _, main, heading, link = self.stack[-1]
+        words = named_words(attributes) if attributes else []
         if attributes:
-            for found in NAMES.findall(attributes):
-                named |= any(w.lower() in NAMED for w in NAME_WORDS.findall(found))
             hidden |= bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", attributes, re.I))
-        page = name in ("html", "body")  # what names the whole page names no part of it
+        why = self.why[-1]
+        if name in MAIN:
+            if why == "layout":
+                why = ""
+            if any(w and w[0] in OWN for w in words):  # of an article's own names only what it is first of all counts
+                why = "firm"
+        elif name == "header" and main and not why:
+            why = "header"
+        elif name in HEADINGS and why == "header":
+            why = ""
+        elif name not in ("html", "body"):  # what names the whole page names no part of it
+            named = {x for w in words for x in w} & NAMED
+            if name in FURNITURE or named & OWN:
+                why = "firm"
+            elif named and why != "firm":
+                why = "firm" if main else "layout"
         inside = main or name in MAIN
-        self.stack.append((name, hidden or name in HIDDEN, furniture or not page and (named or name in FURNITURE), inside, heading or name in HEADINGS, link or name == "a"))
+        self.stack.append((name, hidden or name in HIDDEN, bool(why), inside, heading or name in HEADINGS, link or name == "a"))
+        self.why.append(why)
+
+    def drop(self) -> None:
+        self.stack.pop()
+        self.why.pop()
 
     def pop(self, name: str) -> bool:
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k][0] == name:
-                del self.stack[k:]
+                del self.stack[k:], self.why[k:]
                 return True
             if self.stack[k][0] in MAIN | FURNITURE and name in INLINE | LOOSE:
                 return False  # a stray end tag doesn't end the part of the page that it stands in
@@ -141,9 +180,9 @@ def blocks(page: str) -> list[Block]:
             open_.pop(name)
         elif name in LOOSE | HEADINGS | {"div", "ul", "ol", "table", "section"} and open_.stack[-1][0] in INLINE - {"a"}:
             while open_.stack[-1][0] in INLINE:  # inline markup left open ends at the next block
-                open_.stack.pop()
+                open_.drop()
             if open_.stack[-1][0] == "p":
-                open_.stack.pop()
+                open_.drop()
         if name in VOID or found[3].endswith("/") and name not in RAW | HIDDEN:
             continue
         open_.push(name, found[3])

@@ -74,3 +74,13 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 99), (99, 100), (7, 7), (200, 201), (200, 202)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert {got[i] for i in range(41)} == {0} and got[100] == 99 and got[202] == got[201] == got[200] == 200
+
+
+def test_article_inside_named_layout():
+    text = " ".join(f"word{k}" for k in range(60)) + "."
+    body = f"<h1>The title of it</h1><p>{text}</p><p>{text}</p>"
+    for wrapper in ("class='layout has-sidebar'", "id='content-with-sidebar'", "class='sidebar-layout'"):
+        assert html_text.main_blocks(f"<body><div {wrapper}><article>{body}</article></div></body>") == ["The title of it", text, text]
+    assert html_text.main_blocks(f"<article class='post tag-x has-comments tags'><header><h1>The title of it</h1><div>By someone</div></header><p>{text}</p></article>") == ["The title of it", text]
+    assert html_text.main_blocks(f"<article>{body}</article><div class='comments'><article><p>{text}</p></article></div>") == ["The title of it", text, text]
+    assert html_text.main_blocks(f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>") == [f"{text} x=1"]
