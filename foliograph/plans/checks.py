@@ -108,7 +108,8 @@ def jn13(spark, sf_dir):
 def flt14(spark, sf_dir):
     """Texts over a length with the number of them in their group; counts are joined back, not windowed."""
     long = table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("long").alias("n"), "lang").where("n > 3000")
-    return long.join(long.groupBy("lang").agg(F.count("*").alias("n_in_lang")), "lang").select("doc_id", "n", "lang", "n_in_lang")
+    counts = long.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n_in_lang"))
+    return long.join(counts, F.col("lang").eqNullSafe(F.col("of"))).select("doc_id", "n", "lang", "n_in_lang")
 
 
 @query("flt15_matched_lines", "SELECT DISTINCT l_orderkey AS case_id, unnest(CASE WHEN l_returnflag = 'R' THEN range(l_linenumber, l_linenumber + 4) ELSE [CAST(l_linenumber AS BIGINT), l_linenumber + 3] END) AS line FROM lineitem")

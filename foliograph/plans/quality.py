@@ -80,8 +80,8 @@ def jn15(spark, sf_dir):
 def agg11(spark, sf_dir):
     """Values above mean + 3 sample deviations of their group of five or more; statistics are joined back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    stats = docs.groupBy("lang").agg(F.avg("n_chars").alias("m"), F.stddev_samp("n_chars").alias("s"), F.count("*").alias("n")).where("n >= 5")
-    return docs.join(stats, "lang").where("n_chars > m + 3 * s").select("doc_id", "n_chars")
+    stats = docs.groupBy(F.col("lang").alias("of")).agg(F.avg("n_chars").alias("m"), F.stddev_samp("n_chars").alias("s"), F.count("*").alias("n")).where("n >= 5")
+    return docs.join(stats, F.col("lang").eqNullSafe(F.col("of"))).where("n_chars > m + 3 * s").select("doc_id", "n_chars")
 
 
 @query(

@@ -49,6 +49,18 @@ def test_sql_twin(spark, duck, name):
     assert plain(got.collect(), got.columns) == plain(want.fetchall(), names)
 
 
+def test_null_language_is_a_group(spark, tmp_path):
+    texts = [(k, "x" * (4000 if k < 30 else 90000), None if k % 2 == 0 else "en") for k in range(31)]
+    rows = spark.createDataFrame([(k, t, lang, len(t)) for k, t, lang in texts], "doc_id long, text string, lang string, n_chars long")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name, n in (("flt14_overflow", 31), ("agg11_length_outliers", 1)):
+        got = registry.QUERIES[name](spark, str(tmp_path))
+        want = c.execute(registry.ORACLES[name])
+        assert plain(got.collect(), got.columns) == plain(rows := want.fetchall(), [d[0] for d in want.description]) and len(rows) == n
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0 and set(driver.oracle_sql()) <= set(driver.queries())
 
