@@ -30,11 +30,14 @@ def crc_bucket(key: Column, modulus: int) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.
 
-    A session without that setting (tests, a single machine) gets a temporary folder of its own.
+    Only a session on one machine may do without that setting; it gets a temporary folder of its own.
     """
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
