@@ -8,8 +8,11 @@ document holds in a name is replaced wherever else it stands in that document, s
 Names without a title are found by the first names of ``FIRST`` only. IPv6 addresses of under four digits (loopback and
 the like) are nobody's and stay.
 
-Collision checks run over the corpus: a surrogate that is itself a value of the corpus, or that two values share, is
-drawn again for the later of them until none is left. The few that were drawn again go to their documents by a join.
+Collision checks run over the corpus's different values: a surrogate that is itself a value of the corpus, or that two
+values share, is drawn again for the later of them. Where a format has so few values that ``DRAWS`` draws don't help,
+its values keep their first draw, which is a permutation and so keeps them apart; surnames get longer with each draw
+instead. So this ends. The few values that were drawn again go to the tasks as a broadcast of ``EXCEPTIONS`` at most;
+beyond that they are joined to their documents by key.
 
 Values are compared, and counted as one, in a normal form: digits of a number, lower case of an address. A null text
 stays null, an empty one empty; repeated rows are replaced alike; all other columns stay as they are.
@@ -29,15 +32,17 @@ from pyspark.sql import functions as F
 
 from foliograph.llm._common import durable, table
 
-#: Replace by a secret in earnest; whoever has the key can undo the surrogates.
+#: A placeholder for tests; ``spark.foliograph.surrogateKey`` or an argument gives the secret. Who has it can undo the surrogates.
 KEY = b"surrogate-key"
+#: Draws before a value goes back to its first one; values drawn again that are broadcast at most (about 100 bytes each).
+DRAWS, EXCEPTIONS = 6, 200_000
 
 GROUP = "[0-9A-Fa-f]{1,4}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: First names by script and gender, from common names that are no common words.
 FIRST = {
-    ("latin", "m"): "James John Robert Michael William David Richard Joseph Thomas Charles Pierre Jacques Philippe Nicolas Hans Klaus Jürgen Wolfgang Stefan Carlos Javier Miguel Antonio Francisco".split(),
-    ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Margaret Sophie Isabelle Nathalie Brigitte Ursula Sabine Heike Petra Claudia Carmen Lucía Dolores Francisca Teresa".split(),
+    ("latin", "m"): "James John Robert Michael William David Richard Joseph Thomas Charles Pierre Jacques Philippe Nicolas Hans Klaus Jürgen Wolfgang Stefan Carlos Javier Miguel Antonio Francisco Peter Martin Daniel Georg José Pedro Luis Juan Alejandro Laurent Thierry Olivier".split(),
+    ("latin", "f"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Margaret Sophie Isabelle Nathalie Brigitte Ursula Sabine Heike Petra Claudia Carmen Lucía Dolores Francisca Teresa Maria María Anna Ana Laura Julia Ángela Camille Élise Monika Karin Angela".split(),
     ("cyrillic", "m"): "Иван Сергей Андрей Дмитрий Алексей Николай Михаил Владимир".split(),
     ("cyrillic", "f"): "Ольга Елена Наталья Татьяна Ирина Светлана Екатерина Людмила".split(),
 }
@@ -191,8 +196,12 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         return names[permute(names.index(value), len(names), tweak, key)]
     if kind == "surname":
         parts = SYLLABLES[script(value)]
-        number = int.from_bytes(hashlib.shake_256(b"%s|%s|%s" % (key, tweak.encode(), value.encode())).digest(8), "big")
-        return "".join(parts[number >> 5 * k & 31 if (number >> 5 * k & 31) < len(parts) else 0] for k in range(4)).capitalize()
+        number = int.from_bytes(hashlib.shake_256(b"%s|%s|%s" % (key, tweak.encode(), value.encode())).digest(40), "big")
+        got = ""
+        for _ in range(5 + attempt):  # longer with each draw, so that there are always enough
+            number, k = divmod(number, len(parts))
+            got += parts[k]
+        return got.capitalize()
     return alike(value, tweak, key)
 
 
@@ -307,44 +316,58 @@ def redrawn(docs: DataFrame, text: str, key: bytes) -> DataFrame:
 
     kinds = "kind string, value string, attempt int, new string"
     values = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(find, "kind string, value string").distinct()
-    now = durable(values.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(draw, kinds))
+    now = durable(values.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(draw, kinds).withColumn("firm", F.lit(False)))
     own = now.select("kind", F.col("value").alias("new"))
     finite = F.col("kind").startswith("given")  # first names permute among themselves
     while True:
-        shared = now.where(~finite).groupBy("kind", "new").agg(F.count("*").alias("n"), F.min("value").alias("first")).where("n > 1")
-        bad = now.where(~finite).join(own, ["kind", "new"], "left_semi").select("kind", "value").union(now.join(shared, ["kind", "new"]).where("value <> first").select("kind", "value"))
-        bad = durable(bad.distinct())
+        open_ = now.where(~finite)
+        shared = open_.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct(~F.col("firm"), "value"))["value"].alias("first")).where("n > 1")
+        taken = open_.where("NOT firm").join(own, ["kind", "new"], "left_semi").select("kind", "value")
+        bad = durable(taken.union(open_.join(shared, ["kind", "new"]).where("value <> first AND NOT firm").select("kind", "value")).distinct())
         if bad.isEmpty():
             return now.where("attempt > 0").select("kind", "value", "attempt")
-        new = now.join(bad, ["kind", "value"], "left_semi").select("kind", "value", (F.col("attempt") + 1).cast("int").alias("attempt"))
-        now = durable(now.join(bad, ["kind", "value"], "left_anti").select("kind", "value", "attempt", "new").union(new.mapInArrow(draw, kinds)))
+        more = (F.col("attempt") < DRAWS) | (F.col("kind") == "surname")
+        new = now.join(bad, ["kind", "value"], "left_semi").select("kind", "value", F.when(more, F.col("attempt") + 1).otherwise(0).cast("int").alias("attempt"), (~more).alias("firm"))
+        drawn = new.drop("firm").mapInArrow(draw, kinds).join(new.select("kind", "value", "firm"), ["kind", "value"])
+        now = durable(now.join(bad, ["kind", "value"], "left_anti").select("kind", "value", "attempt", "new", "firm").union(drawn.select("kind", "value", "attempt", "new", "firm")))
 
 
 def with_surrogates(docs: DataFrame, key_column: str = "doc_id", text: str = "text", key: bytes = KEY, count: str | None = None) -> DataFrame:
     """``docs`` with the entities of ``text`` replaced; ``count`` names a column to add for their number."""
     columns = docs.columns
+    number, again = (_free(columns, c) for c in ("n", "again"))
     exceptions = redrawn(docs, text, key)
-    if exceptions.isEmpty():
-        joined = docs.withColumn("_again", F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>"))
-    else:
-        joined = _with_exceptions(docs, key_column, text, exceptions)
+    few = exceptions.limit(EXCEPTIONS + 1).collect()  # bounded
+    shared = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in few} if len(few) <= EXCEPTIONS else None)
+    joined = docs if len(few) <= EXCEPTIONS else _with_exceptions(docs, key_column, text, exceptions, again)
     at = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            again = batch.column(batch.num_columns - 1).to_pylist()
-            got = [replaced(t, key, {(x["kind"], x["value"]): x["attempt"] for x in a or ()}) for t, a in zip(batch.column(at).to_pylist(), again)]
-            out = list(batch.columns[:-1])
+            texts = batch.column(at).to_pylist()
+            if shared.value is not None:
+                got = [replaced(t, key, shared.value) for t in texts]
+            else:
+                got = [replaced(t, key, {(x["kind"], x["value"]): x["attempt"] for x in a or ()}) for t, a in zip(texts, batch.column(len(columns)).to_pylist())]
+            out = list(batch.columns[: len(columns)])
             out[at] = pa.array([g[0] for g in got], pa.string())
-            yield pa.RecordBatch.from_arrays([*out, pa.array([g[1] for g in got], pa.int64())], [*columns, "_n"])
+            yield pa.RecordBatch.from_arrays([*out, pa.array([g[1] for g in got], pa.int64())], [*columns, number])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    done = joined.mapInArrow(run, f"{kinds}, `_n` bigint")
-    return done.withColumnRenamed("_n", count) if count else done.select(*[F.col(f"`{c}`") for c in columns])
+    done = joined.mapInArrow(run, f"{kinds}, `{number}` bigint")
+    return done.withColumnRenamed(number, count) if count else done.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def _free(columns: list[str], name: str) -> str:
+    """A name for a working column that none of ``columns`` has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
 
-def _with_exceptions(docs: DataFrame, key_column: str, text: str, exceptions: DataFrame) -> DataFrame:
-    """``docs`` with ``_again``: for each row's key, the values in such rows that were drawn again."""
+def _with_exceptions(docs: DataFrame, key_column: str, text: str, exceptions: DataFrame, again: str) -> DataFrame:
+    """``docs`` with ``again``: for each row's key, the values in such rows that were drawn again."""
+    key = _free([*docs.columns, again], "key")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,10 +376,10 @@ def _with_exceptions(docs: DataFrame, key_column: str, text: str, exceptions: Da
 
     kind = docs.schema[key_column].dataType.simpleString()
     where = docs.select(F.col(key_column).alias("_key"), F.col(text).cast("string").alias("t")).mapInArrow(find, f"_key {kind}, kind string, value string")
-    each = where.join(exceptions, ["kind", "value"]).groupBy("_key").agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("_again"))
-    return docs.join(each, docs[key_column].eqNullSafe(each["_key"]), "left").drop("_key")
+    each = where.join(exceptions, ["kind", "value"]).groupBy(F.col("_key").alias(key)).agg(F.collect_set(F.struct("kind", "value", "attempt")).alias(again))
+    return docs.join(each, docs[key_column].eqNullSafe(each[key]), "left").drop(key)
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_surrogates(docs, count="n_replaced")
+    return with_surrogates(docs, key=spark.conf.get("spark.foliograph.surrogateKey", KEY.decode()).encode(), count="n_replaced")

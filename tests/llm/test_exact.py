@@ -242,7 +242,19 @@ def test_surrogates_keep_apart(spark, docs, empty, monkeypatch):
     assert got[3] is None and got[2].split()[2] == got[1] != got[2].split()[0]
     again = spark.createDataFrame([("email", "a@b.com", 3)], "kind string, value string, attempt int")
     monkeypatch.setattr(pii, "redrawn", lambda *a: again)
-    other = {r.doc_id: r.text for r in pii.with_surrogates(rows).collect()}
-    assert other[1] == pii.surrogate("email", "a@b.com", 3) != got[1] and other[2].split()[0] == got[2].split()[0]
+    for most in (10, 0):  # as a broadcast, and joined by key
+        monkeypatch.setattr(pii, "EXCEPTIONS", most)
+        clash = rows.selectExpr("doc_id", "text", "1 AS n", "2 AS again", "3 AS key", "4 AS _n", "5 AS kind")
+        other = {r.doc_id: r.text for r in pii.with_surrogates(clash).collect()}
+        assert other[1] == pii.surrogate("email", "a@b.com", 3) != got[1] and other[2].split()[0] == got[2].split()[0]
+        assert pii.with_surrogates(clash, count="n_replaced").columns == [*clash.columns, "n_replaced"]
     monkeypatch.undo()
     assert pii.with_surrogates(docs).columns == docs.columns and pii.with_surrogates(empty).count() == 0
+
+
+def test_surrogates_of_a_full_format(spark):
+    """All values of a format are in the corpus: drawing again can't help, and ends."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = spark.createDataFrame([(k, f"{a}@{b}.com") for k, (a, b) in enumerate((a, b) for a in letters for b in letters)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.with_surrogates(rows).collect()}
+    assert len(set(got.values())) == len(got) == 676
