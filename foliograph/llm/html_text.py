@@ -3,8 +3,9 @@
 A page becomes a flat list of text blocks, cut at block-level tags. Each block has its word count and link density,
 those of its neighbours, and where it stands (inside an article, inside something named as furniture, a heading).
 A decision tree grown from ``BLOCKS``, a small labelled table, says which blocks are main text. Those are joined in
-page order. Nothing is dropped for its length and nothing is cut. A name such as "sidebar" on what
-surrounds an article doesn't make the article furniture, nor does what a name says is elsewhere ("has-sidebar").
+page order. Nothing is cut. A name such as "sidebar" on what surrounds an article doesn't make the article furniture,
+nor does what a name says is elsewhere ("has-sidebar"). A name that says more than that ("share-price") is a hint that
+words and link density decide on.
 
 A null or empty page has an empty text. Pages are independent of each other, so repeated rows give repeated
 results. Broken markup is read to its end: a tag left open ends with its parent, and what is not a tag is text.
@@ -48,6 +49,12 @@ NAMED = {
     "sponsor", "sponsored", "subscribe", "tags", "toolbar", "widget",
 }
 
+#: Words that go with those of ``NAMED`` and leave their meaning as it is.
+NEUTRAL = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "col", "column", "container", "content", "global", "group", "head", "holder",
+    "icon", "icons", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts", "primary", "right", "row", "secondary", "section",
+    "site", "slot", "small", "text", "title", "top", "unit", "us", "wrap", "wrapper",
+}
 #: Of these, what has articles of its own (comments, teasers, adverts), so that an article inside is no main text.
 OWN = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "disqus", "promo", "promoted", "related", "replies", "respond", "sponsor", "sponsored",
@@ -65,7 +72,7 @@ class Block:
     text: str
     words: int
     linked: int
-    furniture: bool
+    furniture: float  # 1 if its place says so, 0.5 if a name only hints at it
     main: bool
     heading: bool
 
@@ -88,8 +95,8 @@ def named_words(attributes: str) -> list[list[str]]:
 class _Open:
     """Where the reader stands: the open elements and what they mean for text."""
 
-    stack: list[tuple[str, bool, bool, bool, bool, bool]] = field(default_factory=lambda: [("", False, False, False, False, False)])
-    #: Why each open element is furniture: "" (it isn't), "layout" (a mere name), "header" (of an article) or "firm".
+    stack: list[tuple[str, bool, float, bool, bool, bool]] = field(default_factory=lambda: [("", False, 0.0, False, False, False)])
+    #: Why each open element is furniture: "" (it isn't), "hint", "layout" (a mere name), "header" (of an article) or "firm".
     why: list[str] = field(default_factory=lambda: [""])
 
     def push(self, name: str, attributes: str) -> None:
@@ -99,7 +106,7 @@ class _Open:
             hidden |= bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", attributes, re.I))
         why = self.why[-1]
         if name in MAIN:
-            if why == "layout":
+            if why in ("layout", "hint"):
                 why = ""
             if any(w and w[0] in OWN for w in words):  # of an article's own names only what it is first of all counts
                 why = "firm"
@@ -108,13 +115,15 @@ class _Open:
         elif name in HEADINGS and why == "header":
             why = ""
         elif name not in ("html", "body"):  # what names the whole page names no part of it
-            named = {x for w in words for x in w} & NAMED
-            if name in FURNITURE or named & OWN:
+            plain = {x for w in words if set(w) <= NAMED | NEUTRAL for x in w} & NAMED
+            if name in FURNITURE or plain & OWN:
                 why = "firm"
-            elif named and why != "firm":
+            elif plain and why != "firm":
                 why = "firm" if main else "layout"
+            elif not why and any(set(w) & NAMED for w in words):
+                why = "hint"
         inside = main or name in MAIN
-        self.stack.append((name, hidden or name in HIDDEN, bool(why), inside, heading or name in HEADINGS, link or name == "a"))
+        self.stack.append((name, hidden or name in HIDDEN, {"": 0.0, "hint": 0.5}.get(why, 1.0), inside, heading or name in HEADINGS, link or name == "a"))
         self.why.append(why)
 
     def drop(self) -> None:
@@ -209,7 +218,7 @@ def features(found: list[Block]) -> np.ndarray:
     before = lambda v: np.r_[0.0, v[:-1]]
     after = lambda v: np.r_[v[1:], 0.0]
     place = np.array([[b.furniture, b.main, b.heading] for b in found], float)
-    article = np.full(len(found), float(any(b.main and not b.furniture for b in found)))
+    article = np.full(len(found), float(any(b.main and b.furniture < 1 for b in found)))
     return np.c_[n, d, before(n), before(d), after(n), after(d), place, article]
 
 
@@ -240,10 +249,30 @@ BLOCKS = [
 ]
 
 
+#: More labelled blocks, by rule: main text stays main text whatever its neighbours' link density; a block of links
+#: is main text inside an article only; what a name merely hints at goes by its words and links.
+for _before in (0.0, 1.0):
+    for _after in (0.0, 1.0):
+        for _n in (1, 4, 12, 40, 150):
+            BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0, 1, _h, 1, 1) for _h in (0, 1)]  # in an article
+            BLOCKS += [(_n, 1.0, 20, _before, 9, _after, 0, 1, 0, 1, 1), (_n, 0.3, 20, _before, 9, _after, 0, 1, 0, 1, 1)]
+            BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 1, _m, 0, 1, 0) for _m in (0, 1)]  # in a menu, notice or the like
+            BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0, 0, 0, 1, 0)]  # beside the article
+            BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0.5, 1, 0, 1, 1), (_n, 1.0, 20, _before, 9, _after, 0.5, 1, 0, 1, 0)]
+            BLOCKS += [(_n, 1.0, 20, _before, 9, _after, 0, 0, 0, 0, 0)]  # links on a page without an article
+            if _n >= 12:
+                BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0, 0, 0, 0, 1), (_n, 0.2, 20, _before, 9, _after, 0, 0, 0, 0, 1)]
+                BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0.5, 0, 0, 0, 1), (_n, 0.8, 20, _before, 9, _after, 0.5, 0, 0, 0, 0)]
+            elif _before == _after == 1.0:
+                BLOCKS += [(_n, 0.0, 2, _before, 2, _after, 0, 0, 0, 0, 0), (_n, 0.0, 2, _before, 2, _after, 0.5, 0, 0, 0, 0)]
+            elif _before == 0.0:
+                BLOCKS += [(_n, 0.0, 20, _before, 9, _after, 0, 0, 0, 0, 1)]
+
+
 @lru_cache(1)
 def tree() -> Node:
     t = np.array(BLOCKS, float)
-    return grow(t[:, :-1], t[:, -1], np.ones(len(t)), depth=6, least=1)
+    return grow(t[:, :-1], t[:, -1], np.ones(len(t)), depth=8, least=1)
 
 
 def main_blocks(page: str | None) -> list[str]:

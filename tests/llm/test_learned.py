@@ -19,6 +19,12 @@ def test_language_id_edges(docs, empty):
     learned = language_id.learn(docs)
     got = {r.doc_id: r for r in language_id.identify(docs, learned, "doc_id").collect()}
     assert got[3].lang_pred == got[4].lang_pred == got[7].lang_pred == "und" and got[3].rejected and got[3].score == 0
+    many = docs.sparkSession.createDataFrame([(k, f"wort{k % 90} und noch {k} mehr davon", f"l{k % 90}") for k in range(900)] + [(7, "immer das gleiche", "l1")] * 500, "doc_id long, text string, lang string")
+    assert len(language_id.learn(many)) == 90  # every language, however many
+    long = docs.sparkSession.createDataFrame([(1, "anfang " * 3000 + "zwischendrin " * 3000 + "schluss " * 3000, "de")], "doc_id long, text string, lang string")
+    assert {b"anfang", b"zwischendrin", b"schluss"} <= set(language_id.learn(long)["de"].split())  # not a prefix
+    twice = {(r.doc_id, r.lang_pred, r.score) for r in language_id.identify(docs.union(docs), learned, "doc_id").collect()}
+    assert len(twice) == len({(r.doc_id, r.lang_pred, r.score) for r in language_id.identify(docs, learned, "doc_id").collect()})
     assert language_id.learn(empty) == {} and language_id.identify(docs, {}, "doc_id").where("lang_pred <> 'und'").count() == 0
 
 
@@ -84,3 +90,30 @@ def test_article_inside_named_layout():
     assert html_text.main_blocks(f"<article class='post tag-x has-comments tags'><header><h1>The title of it</h1><div>By someone</div></header><p>{text}</p></article>") == ["The title of it", text]
     assert html_text.main_blocks(f"<article>{body}</article><div class='comments'><article><p>{text}</p></article></div>") == ["The title of it", text, text]
     assert html_text.main_blocks(f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>") == [f"{text} x=1"]
+
+
+def test_links_beside_main_text_and_names_that_only_hint():
+    text = " ".join(f"word{k}" for k in range(40)) + "."
+    end = "The last paragraph is short."
+    got = html_text.main_blocks(f"<article><h1>Title</h1><p>{text}</p><p>{end}</p></article><footer><a href=/>Home page</a></footer>")
+    assert got == ["Title", text, end]
+    assert html_text.main_blocks(f"<article><h1>Title</h1><p>{text}</p><p>{end}</p></article><div><a href=/>Home page</a></div>") == ["Title", text, end]
+    assert html_text.main_blocks(f"<article><p>{text}</p><p><a href=/x>Read this other piece</a></p><p>{end}</p></article>") == [text, "Read this other piece", end]
+    hints = f'<article><p>{text}</p><div class="share-price">The share price rose</div><p class="sponsored-by-none">Nobody paid for this.</p><div class="share-buttons">Share this</div></article>'
+    assert html_text.main_blocks(hints) == [text, "The share price rose", "Nobody paid for this."]
+    for at in range(5):  # links at every place of an article, and around it
+        blocks = [f"<p>{text} {k}</p>" for k in range(4)]
+        blocks.insert(at, "<p><a href=/y>a linked line</a></p>")
+        page = f"<nav><a href=/>Home</a></nav><a href=/>top</a><article>{''.join(blocks)}</article><div><a href=/>next</a></div>"
+        got = html_text.main_blocks(page)
+        assert len(got) == 5 and got[at] == "a linked line"
+
+
+def test_tree_uses_words_and_neighbours():
+    used, todo = set(), [html_text.tree()]
+    while todo:
+        node = todo.pop()
+        if node.low is not None:
+            used.add(html_text.FEATURES[node.column])
+            todo += [node.low, node.high]
+    assert {"density", "furniture", "main"} <= used and used & {"words", "words_before", "words_after"} and used & {"density_before", "density_after", "words_before", "words_after"}
