@@ -4,7 +4,7 @@ One zstandard raw-content dictionary per language holds text of that language. A
 language whose dictionary gives the fewest bytes is chosen, and the choice is rejected if the next best one comes
 within a narrow margin. Whole texts are coded, in parts cut at spaces so that the dictionary matters throughout.
 
-Dictionaries come from a bounded sample of labelled documents; nothing but text enters a prediction. A text that is
+Dictionaries come from a bounded sample of labelled documents (``DOCUMENTS``); nothing but text enters a prediction. A text that is
 null or has no letter is ``und`` with score 0 and rejected. If nothing was learned every text is. Copies of a row
 are judged alike; columns other than those asked for are left aside.
 """
@@ -15,15 +15,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliograph.llm._common import crc_bucket, table
+from foliograph.llm._common import crc_bucket, table, words
 
-#: Documents per language that a dictionary is made of, about; and the most bytes it takes from them.
+#: Labelled documents per language that a dictionary is made of, at most; and the most bytes it takes from them.
 DOCUMENTS, DICTIONARY_BYTES = 240, 96_000
-#: Languages that are learned at most: the most frequent ones.
-LANGUAGES = 64
+#: Passages taken from each of them, evenly spread over the whole text.
+PASSAGES = 4
 PART = 6_000
 #: Effort of the coder; narrow choices are coded again with the second, which finds shorter matches.
 LEVEL, SECOND_LEVEL = 9, 19
@@ -32,22 +32,28 @@ NARROW = 0.002
 
 
 def learn(docs: DataFrame, among: Column | None = None) -> dict[str, bytes]:
-    """Language -> dictionary, from a sample of the labelled documents.
+    """Language -> dictionary, from a sample of the labelled documents; every language of theirs is learned.
 
-    Documents are taken whose id hashes below a share that gives about ``DOCUMENTS`` per language, in one pass; the
-    driver gets ``LANGUAGES * DOCUMENTS`` texts at most, each with a bounded part of the dictionary to fill.
+    Documents are taken whose id hashes below a share that gives about ``DOCUMENTS`` per language, in one pass, repeated
+    rows once. Of each, ``PASSAGES`` runs of words go to the driver, so it gets ``DICTIONARY_BYTES`` per language, about.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.lit(True) if among is None else among))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()
     if not sizes:
         return {}
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
     share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1_000_000, -(-DOCUMENTS * 1_000_000 // r["count"])))])
     each = DICTIONARY_BYTES // DOCUMENTS * 4
-    picked = known.where(place < F.element_at(share, F.col("lang"))).select("lang", place.alias("place"), "doc_id", F.lower(F.substring("text", 1, 4 * each)).alias("text"))
+    w, n = F.col("w"), F.size("w")
+    run = max(1, each // PASSAGES // 6)  # words
+    spread = F.transform(F.sequence(F.lit(0), F.lit(PASSAGES - 1)), lambda k: F.array_join(F.slice(w, F.floor(k * F.greatest(n - run, F.lit(0)) / (PASSAGES - 1)).cast("int") + 1, F.lit(run)), " "))
+    taken = F.when(n <= run * PASSAGES, F.array_join(w, " ")).otherwise(F.array_join(spread, " "))
+    picked = known.where(place < F.element_at(share, F.col("lang"))).select("lang", place.alias("place"), F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").alias("same"), words(F.lower("text")).alias("w"))
+    picked = picked.withColumn("text", taken).groupBy("lang", "place", "id", "same").agg(F.first("text").alias("text"))
+    first = picked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", "same"))).where(F.col("rank") <= DOCUMENTS)
     out: dict[str, list[bytes]] = {}
-    for r in sorted(picked.limit(LANGUAGES * DOCUMENTS * 2).collect(), key=lambda r: (r["lang"], r["place"], str(r["doc_id"]))):
-        out.setdefault(r["lang"], []).append(_clean(r["text"]).encode()[:each])
+    for r in sorted(first.select("lang", "rank", "text").collect(), key=lambda r: (r["lang"], r["rank"])):
+        out.setdefault(r["lang"], []).append(_clean(r["text"]).encode("utf-8", "surrogatepass")[: 2 * each])
     return {lang: b"\n".join(parts)[-DICTIONARY_BYTES:] for lang, parts in out.items()}
 
 
@@ -104,7 +110,7 @@ class Compressors:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], *columns: str, text: str = "text") -> DataFrame:
     """(*columns, lang_pred, score, rejected) of every document."""
     slim = docs.select(*columns, F.col(text).cast("string").alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # LANGUAGES * DICTIONARY_BYTES at most
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # DICTIONARY_BYTES per language at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Compressors(shared.value).judge
