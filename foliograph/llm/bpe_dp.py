@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from foliograph.llm._common import table
 
 VOCABULARY = "word_bpe_49k.json"
-#: Pieces that a worker keeps before it starts anew.
-REMEMBERED = 400_000
+#: Pieces that a worker keeps before it starts anew, and the longest one that it keeps.
+REMEMBERED, LONGEST = 400_000, 64
 #: Code points that the tokenizer's white-space class holds.
 SPACES = r"\t-\r \x85\xa0  -     　"
 #: Distance between a symbol and the same symbol at a word's end.
@@ -66,10 +66,11 @@ class PrefixCodec:
             self.merged[left, right] = (whole, rank)
         self.ids = ids
         self.starts = {s[:k] for s in ids for k in range(1, len(s) + 1)}
-        #: Automaton over the vocabulary, made as far as texts lead: the state of a prefix is the longest suffix of
-        #: it that begins a token; (transitions by symbol, tokens that are suffixes of the state, longest first)
-        self.states: dict[str, tuple[dict, tuple, str]] = {}
-        self.root = self._state("")
+        #: Suffix automaton over the vocabulary, made as far as texts lead: the state of a prefix is the longest suffix
+        #: of it that begins a token; (transitions by symbol, tokens that are suffixes of the state, longest first, the
+        #: state's symbols, its failure link: the state of its longest shorter suffix)
+        self.root = ({}, (), "", None)
+        self.states: dict[str, tuple] = {"": self.root}
         self.symbols = {chr(b): s for b, s in byte_symbols().items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pre = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
@@ -105,17 +106,23 @@ class PrefixCodec:
             else:
                 b, before, left_last = pb_[0], pb_[2], False
 
-    def _state(self, suffix: str) -> tuple[dict, tuple, str]:
-        if suffix not in self.states:
-            found = (self.ids.get(suffix[k:]) for k in range(len(suffix)))
-            self.states[suffix] = ({}, tuple((i, self.length[i]) for i in found if i is not None), suffix)
-        return self.states[suffix]
-
-    def _step(self, state: tuple[dict, tuple, str], symbol: str) -> tuple[dict, tuple, str]:
-        suffix = state[2] + symbol
-        while suffix and suffix not in self.starts:
-            suffix = suffix[1:]
-        to = state[0][symbol] = self._state(suffix)
+    def _step(self, state: tuple | None, symbol: str) -> tuple:
+        """The state after ``symbol``; goes down the failure links to the first state that some token continues with it."""
+        at = state
+        while at is not None and symbol not in at[0] and at[2] + symbol not in self.starts:
+            at = at[3]
+        if at is None:
+            to = self.root
+        elif symbol in at[0]:
+            to = at[0][symbol]
+        else:
+            symbols = at[2] + symbol
+            if symbols not in self.states:
+                link = self.root if at is self.root else self._step(at[3], symbol)
+                own = self.ids.get(symbols)
+                self.states[symbols] = ({}, (((own, self.length[own]),) if own is not None else ()) + link[1], symbols, link)
+            to = self.states[symbols]
+        state[0][symbol] = to
         return to
 
     def word(self, symbols: str) -> list[int]:
@@ -164,7 +171,9 @@ class PrefixCodec:
                     if len(self.met) >= REMEMBERED:
                         self.met.clear()
                     s = w.translate(self.plain) if w.isascii() else "".join(map(self.symbols.__getitem__, w.encode("utf-8", "surrogatepass").decode("latin-1")))
-                    ids = self.met[w] = self.word(s)
+                    ids = self.word(s)
+                    if len(w) <= LONGEST:
+                        self.met[w] = ids
                 out += ids
         return out
 
@@ -173,7 +182,9 @@ class PrefixCodec:
         if len(self.seen) >= REMEMBERED:
             self.seen.clear()
         ids = self.piece(piece)
-        got = self.seen[piece] = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids), len(ids))
+        got = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids), len(ids))
+        if len(piece) <= LONGEST:
+            self.seen[piece] = got
         return got
 
     def decode(self, ids: list[int]) -> str:

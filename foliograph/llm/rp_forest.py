@@ -10,6 +10,7 @@ The upper splits are fitted on a bounded sample. Leaves that are still too large
 medians as long as that helps; what no cut divides is compared in blocks. Equal vectors become one beforehand, with
 their number. Vectors of different lengths are never compared.
 
+Vectors are told apart by what they hold, so different ones may share an id; each row has its own result.
 A vector that is null, zero, or holds a null or non-finite component links with nothing, as does one with a null id:
 n_links 0, its own component, kept. Other columns are left aside.
 """
@@ -72,20 +73,24 @@ def unit(vectors) -> np.ndarray:
 
 
 def _distinct(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that can link: id, k1, k2; different vectors: rep, n, v). k1, k2: 128 bits of the vector."""
-    v = F.col(vector).cast("array<double>")
+    """(rows that can link: id, k1, k2; different vectors: k1, k2, id, n, v). k1, k2: 128 bits of the vector.
+
+    Vectors of floats travel as floats; they are compared as doubles.
+    """
+    kind = "float" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "double"
+    v = F.col(vector).cast(f"array<{kind}>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
-    rows = rows.where(finite & F.exists("v", lambda x: x != 0.0))
-    rows = rows.withColumns({"v": F.transform("v", lambda x: x + 0.0), "k1": F.xxhash64(F.lit(1), "v"), "k2": F.xxhash64(F.lit(2), "v")})
-    reps = rows.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
+    rows = rows.where(finite & F.exists("v", lambda x: x != 0))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0).cast(kind))).withColumns({ "k1": F.xxhash64(F.lit(1), "v"), "k2": F.xxhash64(F.lit(2), "v")})
+    reps = rows.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v"))
     return rows.select("id", "k1", "k2"), reps
 
 
 def _planted(reps: DataFrame, cosine: float, trees: int, leaf: int, sample: int) -> DataFrame:
     """(rep, n, v, home): each vector once per leaf that holds it, over all trees."""
     spark = reps.sparkSession
-    picked = reps.orderBy(F.xxhash64("rep"), "rep").select("v").limit(sample).collect()
+    picked = reps.orderBy(F.xxhash64("k1"), "k1", "k2").select("v").limit(sample).collect()
     total = max(1, reps.count())
     by_dim: dict[int, list] = {}
     for r in picked:
@@ -104,7 +109,7 @@ def _planted(reps: DataFrame, cosine: float, trees: int, leaf: int, sample: int)
                         if len(at):
                             yield rows.iloc[at].assign(home=f"{dim}.{t}.{node}")
 
-    return reps.select("rep", "n", "v").mapInPandas(run, "rep long, n long, v array<double>, home string")
+    return reps.select("rep", "n", "v").mapInPandas(run, f"rep long, n long, v {reps.schema['v'].dataType.simpleString()}, home string")
 
 
 def _projection(turn: int):
@@ -206,8 +211,9 @@ def compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """(key, n_links, component_id, kept) for each row of ``vectors``."""
     rows, reps = _distinct(vectors, key, vector)
-    reps = durable(reps)
-    placed = durable(_split_deeper(_planted(reps, cosine, trees, leaf, sample), cosine, leaf))
+    reps = durable(reps.withColumn("rep", F.monotonically_increasing_id()))  # as written, a vector keeps its number
+    placed = _split_deeper(_planted(reps, cosine, trees, leaf, sample), cosine, leaf)
+    placed = durable(placed.withColumn("home", F.xxhash64("home")))
     homes = placed.groupBy("rep").agg(F.collect_set("home").alias("homes"))  # a vector's leaves: bounded by the trees' depth
     sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     tasks = placed.join(homes, "rep").join(sizes, "home")
@@ -217,8 +223,9 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     found = durable(tasks.groupBy("home", "low", "high").applyInPandas(lambda g: compare(g, cosine), "rep long, links long, to long"))
     parts = components(found.where("rep <> to").select("rep", "to"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    each = reps.join(links, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left")
-    each = each.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    each = reps.drop("v").join(links, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep"))
+    each = each.join(each.groupBy("part").agg(F.min("id").alias("component_id")), "part")
+    each = each.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"), "component_id")
     linked = rows.join(each, ["k1", "k2"]).select("id", "n_links", "component_id")
     v = F.col(vector).cast("array<double>")
     able = F.col(key).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0.0)
