@@ -41,16 +41,21 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def durable(df: DataFrame) -> DataFrame:
+#: Rows of a written step that one task reads, about, where a step is known to be small.
+ROWS = 100_000
+
+
+def durable(df: DataFrame, small: bool = False) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder.
 
-    Executors delete the shuffle files of earlier steps once the driver has collected what referred to them; asking
-    for that here keeps a job of many rounds from holding the files of all of them.
+    ``small`` counts the rows and lets as few tasks read them as they need, so that steps of many rounds don't make
+    thousands of tiny files. Executors delete the shuffle files of earlier steps once the driver has collected what
+    referred to them; asking for that here keeps a job of many rounds from holding the files of all of them.
     """
     shared_folder(df.sparkSession)
     cut = df.checkpoint(eager=True)
     df.sparkSession.sparkContext._jvm.System.gc()
-    return cut
+    return cut.coalesce(1 + cut.count() // ROWS) if small else cut
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -61,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
     (node, component): one row per node that has an edge to another node; component is its part's smallest node.
     """
     a, b = (F.col(c) for c in edges.columns[:2])
-    now = durable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    now = durable(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), True)
     mark = _mark(now)
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -69,7 +74,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
-        now = durable(small.where("u <> v").distinct())
+        now = durable(small.where("u <> v").distinct(), True)
         last, mark = mark, _mark(now)
         if mark == last:
             break
