@@ -25,15 +25,37 @@ def end_mark(c: Column) -> Column:
 
 
 def date_text(c: Column) -> Column:
-    """A full stop after the day becomes a comma; a bracket read for the 1 of a year becomes a 1."""
-    month = "|".join(MONTHS)
-    return F.regexp_replace(F.regexp_replace(c, rf"((?:{month}) \d{{1,2}})\. (\d{{4}})", "$1, $2"), r"[\[(]9([0-9B])6\b", "1986")
+    """A full stop after the day becomes a comma; of four misread forms of 1986 the first one found is mended."""
+    month = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
+    t = F.regexp_replace(c, rf"(?i)({month}\s+\d{{1,2}})\.(\s+\d{{4}})", "$1,$2")
+    case = F
+    for wrong in ("[986", "(986", "[9B6", "(9B6"):  # fixed values
+        case = case.when(F.contains(t, F.lit(wrong)), F.replace(t, F.lit(wrong), F.lit("1986")))
+    return case.otherwise(t)
+
+
+#: How scans misspell "concur".
+CONCUR = ["coneur", "concue", "concuf", "soncur", "concor", "coricur", "conour", "concut", "conrur", "concui"]
 
 
 def concur(c: Column) -> Column:
     """White space collapsed and broken or misread forms of 'concur' made whole."""
     t = F.trim(F.regexp_replace(c, r"\s+", " "))
-    return F.regexp_replace(F.regexp_replace(t, r"(?i)con-\s?cur", "concur"), r"(?i)\b(?:coneur|concnr|conctir|cencur)\b", "concur")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?i)\bcon-\s*cur", "concur"), r"(?i)\bcon\s+cur", "concur")
+    return F.regexp_replace(F.regexp_replace(t, "(?i)_concur", " concur"), rf"(?i)\b(?:{'|'.join(CONCUR)})\b", "concur")
+
+
+def ponente(c: Column) -> Column:
+    """PER CURIAM in one spelling, without punctuation after it; other names stay."""
+    return F.when(c.rlike(r"(?i)^\s*PER\s+CURIAM\s*[,:;.]*\s*$"), "PER CURIAM").otherwise(c)
+
+
+def by_label(label: Column, text: Column) -> Column:
+    """The repair that the label calls for."""
+    return (
+        F.when(label == "case_number", case_number(text)).when(label == "date", date_text(text)).when(label == "division", division(text))
+        .when(label == "ponente", ponente(text)).when(label == "end_decision", end_mark(text)).otherwise(text)
+    )
 
 
 def flexible_date(c: Column) -> Column:
@@ -52,5 +74,5 @@ def clamped_date(c: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Capitals at the start and after a hyphen or space."""
+    """Capitals at the start of words and after hyphens."""
     return F.array_join(F.transform(F.split(F.lower(c), "-"), F.initcap), "-")

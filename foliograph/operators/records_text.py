@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliograph.functions import repair
+
 #: Lines after a division header in which a bracket must come; lines in which further brackets belong to the same case.
 BRACKET_WITHIN, MORE_WITHIN = 11, 10
 BRACKET = r"^[\[({]?\s*G\.\s?R\.\s+Nos?[.,]\s*(\S+?)[.,]\s+(.*?)[\])}]?\s*$"
@@ -62,9 +64,9 @@ def boundaries(lines: DataFrame, volume: str = "volume") -> DataFrame:
     return sent.groupBy(volume).applyInPandas(scan, f"{volume} {kind}, start_line int, end_line int, brackets array<string>")
 
 
-def vote_category(sentence: Column) -> Column:
-    """Category of a vote statement, by the first of ordered tests."""
-    s = F.lower(sentence)
+def vote_category(verb: Column) -> Column:
+    """Category of what is said about voters, by the first of ordered tests."""
+    s = F.lower(verb)
     return (
         F.when((s.contains("separate") | s.contains("opinion")) & ~s.contains("joins"), F.when(s.contains("dissenting") & ~s.contains("concurring"), "dissenting").otherwise("other"))
         .when(s.contains("joins"), "other").when(s.contains("dissent"), "dissenting").when(s.contains("inhibit"), "no_part").when(s.rlike("no.*part"), "no_part")
@@ -72,49 +74,93 @@ def vote_category(sentence: Column) -> Column:
     )
 
 
+#: What is said about voters, with misread forms; longer ones first.
+SAID = (
+    r"(?i)\b(?:(?:took|1ook|look)\s+no\s+part|no\s+part|on\s+official\s+business|on\s+(?:official\s+)?leave"
+    r"|(?:see\s+)?separate\s+(?:concurring\s+(?:and\s+dissenting\s+)?)?(?:dissenting\s+)?opinion\w*|(?:see\s+)?separate\s+concurr\w+|(?:see\s+)?separate\s+dissent\w+"
+    r"|joins?\s+(?:the\s+|an?\s+)?(?:opinion|concurr\w+|dissent\w+)\s+of|inhibit\w*|concur\w*|dissent\w*)"
+)
+#: Tokens that are no names.
+NO_VOTERS = [
+    "JJ", "CJ", "Jr", "Jr.", "Sr", "Sr.", "III", "II", "IV", "Acting", "Chairman", "Chief", "Justice", "Associate", "Ponente", "ponente", "PONENTE", "OPINION", "Opinion", "CONCURRING",
+    "DISSENTING", "SEPARATE", "Acting C.J", "Acting CJ", "S.A.J", "S.A", "Senior Associate Justice", "Chairperson", "JJ/", "J//", "JA/", "C./", "C.F", "Wife", "However", "Please sce",
+]
+
+
+def voters(clause: Column) -> Column:
+    """Names in a clause, in order: titles and remarks in brackets go, initials and suffixes stay with their names."""
+    t = F.regexp_replace(clause, r"(?i),?\s*\b(?:JJ|C\.?\s*/?\s*J|J/J|J)\s*[.,](?!\s*[A-Z]\.)(?!\s+Lopez)", ",")
+    t = F.regexp_replace(F.regexp_replace(t, r"\s*\([^)}]*[)}]\s*", " "), r"(?i)\b(?:please\s+see|maintain|reserve|reiterate|following\s|in\s+the\s+result).*$", "")
+    t = F.regexp_replace(t, r"\s*,?\s*\b([JS]r)\s*[.,]\s*", " $1, ")
+    parts = F.transform(F.split(t, r"\s*[,;][\s.\-]*(?:and\s+)?|\s+and\s+|\s*&\s*|\.\s+(?=[A-Z][a-z])(?<![A-Z]\.\s)"), lambda p: F.regexp_replace(p, r"^[\s.,;:\-*'\"]+|[\s.,;:\-*'\"]+$", ""))
+    parts = F.transform(parts, lambda p: F.regexp_replace(F.regexp_replace(p, r"^(?:and|but)\s+", ""), r"\s+([JS]r)$", ", $1."))
+    return F.filter(parts, lambda p: (F.length(p) >= 2) & ~p.isin(*NO_VOTERS))
+
+
 def votes_in(statements: DataFrame, key: str, raw: str) -> DataFrame:
-    """(key, category, pos, name): names before each verb get its category; titles go, order is kept."""
-    bare = F.regexp_replace(F.regexp_replace(F.col(raw), r"\s+", " "), r",?\s*\b(?:C\.\s?)?J{1,2}\.,?", " ")
-    sentence = F.explode(F.filter(F.split(bare, r"[.;]"), lambda s: F.trim(s) != ""))
-    each = statements.select(key, sentence.alias("s"))
-    before = F.regexp_replace("s", r"(?i)\b(?:concurs?|dissents?|dissenting|took|takes|inhibit\w*|on (?:official )?(?:leave|business)|joins?|see|no part)\b.*$", "")
-    names = F.filter(F.transform(F.split(before, r",|\band\b|&"), lambda n: F.trim(n)), lambda n: n != "")
-    return each.select(key, vote_category(F.col("s")).alias("category"), F.posexplode(F.array_distinct(names)).alias("pos", "name"))
+    """(key, category, pos, name): the names before each verb get its category, those after "joins ... of" 'other', too.
+
+    A name that a category has twice stays once, where it stands first.
+    """
+    t = repair.concur(F.coalesce(F.col(raw), F.lit("")))
+    verbs, clauses = F.regexp_extract_all(t, F.lit(f"({SAID})"), F.lit(1)), F.split(t, SAID, -1)
+    each = F.transform(verbs, lambda v, i: F.struct(vote_category(v).alias("category"), i.alias("i"), voters(F.get(clauses, i)).alias("before"), F.when(F.lower(v).rlike(r"^joins?\s"), voters(F.get(clauses, i + 1))).alias("after")))
+    said = statements.select(key, F.inline(each))
+    names = F.concat("before", F.coalesce("after", F.array().cast("array<string>")))
+    placed = said.select(key, "category", "i", F.posexplode(names).alias("j", "name")).groupBy(key, "category", "name").agg(F.min(F.struct("i", "j")).alias("at"))
+    return placed.select(key, "category", (F.col("at.i") * 1000 + F.col("at.j")).alias("pos"), "name")
+
+
+#: How one says that somebody joins another's dissent.
+JOINS = r"(?i)(?:joins?|1 join|concurs? (?:in|with)|agrees? with)\s+(?:the\s+)?(?:dissent(?:ing)?|concurring and dissenting|separate)\s*(?:opinion\s*)?of\s+(?:(?:Mme\.\s*)?(?:Justice|J\.?)\s+)?"
+POSSESSIVE = r"(?i)(?:(?:Justice|J\.?)\s+)?([A-Z][\w\-]+(?:,?\s*(?:Jr|Sr)\.?)?)['’]s?\s+(?:dissent|concurring and dissenting|separate)"
+TARGET = r"^([A-Z][\w\-]+(?:,?\s*(?:Jr|Sr)\.?)?)"
+
+
+def joined_dissents(statements: DataFrame, key: str, raw: str) -> DataFrame:
+    """(key, joiner, target): who joins whose dissent, by "joins the dissent of X" and "X's dissent"; different pairs."""
+    s = F.explode(F.split(F.coalesce(F.col(raw), F.lit("")), r"(?<=[.;])\s+(?=[A-Z])"))
+    parts = statements.select(key, s.alias("s"))
+    said = parts.select(key, F.get(F.split("s", JOINS), 0).alias("before"), F.regexp_extract(F.get(F.split("s", JOINS), 1), TARGET, 1).alias("target")).where(F.col("s").rlike(JOINS))
+    owned = parts.where(F.col("s").rlike(POSSESSIVE)).select(key, F.get(F.split("s", POSSESSIVE), 0).alias("before"), F.regexp_extract("s", POSSESSIVE, 1).alias("target"))
+    owned = owned.withColumn("before", F.regexp_replace("before", r"(?i)\b(?:joins?|concurs?|agrees?)\b.*$", ""))
+    both = said.union(owned).select(key, F.explode(voters(F.col("before"))).alias("joiner"), F.regexp_replace("target", r"[.,]+$", "").alias("target"))
+    return both.where("target <> '' AND joiner <> target").distinct()
 
 
 def best_match(tokens: DataFrame, registry: DataFrame, token: str = "token", name: str = "name", least: float = 0.75) -> DataFrame:
     """(token, name, score): the most similar registered name of each distinct token, or none below ``least``.
 
-    Exact names go by a join. Only tokens that are left are compared with the registry, whose size is checked: it is
-    broadcast in pieces of ``PIECE`` names by a join on the piece, each giving its best.
+    Exact names go by a join. The others are compared with names that share two neighbouring letters only: texts of
+    more than eight letters together that reach 0.75 do (else at least a letter stands between any two that match);
+    shorter ones meet by single letters. Lengths and letters in common bound the ratio before it is computed.
     """
     distinct = tokens.select(F.upper(F.trim(token)).alias("up"), F.col(token)).distinct()
     names = registry.select(F.col(name), F.upper(F.trim(name)).alias("key")).dropDuplicates(["key"])
     exact = distinct.join(names, F.col("up") == F.col("key")).select(token, name, F.lit(1.0).alias("score"))
-    rest = distinct.join(names, F.col("up") == F.col("key"), "left_anti").select(token, "up")
-    pieces = names.withColumn("piece", F.pmod(F.xxhash64("key"), F.lit(16))).groupBy("piece").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    rest = distinct.join(names, F.col("up") == F.col("key"), "left_anti").select("up").distinct()
 
-    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for t, up, keys in zip(batch[token], batch["up"], batch["keys"]):
-                m = SequenceMatcher(autojunk=True)
-                m.set_seq2(up)
-                top, at = -1.0, None
-                for k in keys:
-                    m.set_seq1(k)
-                    if m.real_quick_ratio() > top and m.quick_ratio() > top and (r := m.ratio()) > top:
-                        top, at = r, k
-                out.append((t, at, top))
-            yield pd.DataFrame(out, columns=[token, "key", "score"])
+    def grams(df: DataFrame, c: str) -> DataFrame:
+        n = F.length(c)
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(2)))
+        return df.select(c, F.explode(F.array_distinct(F.concat(pairs, F.when(n <= 7, F.filter(F.split(c, ""), lambda x: x != "")).otherwise(F.array().cast("array<string>"))))).alias("gram"))
+
+    a, b = F.length("up"), F.length("key")
+    letters = F.array_distinct(F.filter(F.split("up", ""), lambda x: x != ""))
+    shared = F.aggregate(letters, F.lit(0), lambda t, x: t + F.least(F.length("up") - F.length(F.replace(F.col("up"), x, F.lit(""))), F.length("key") - F.length(F.replace(F.col("key"), x, F.lit("")))))
+    pairs = grams(rest, "up").join(grams(names.select("key"), "key"), "gram").where((2 * F.least(a, b)) >= least * (a + b)).select("up", "key").distinct().where(2 * shared >= least * (a + b))
+
+    @F.pandas_udf("double")
+    def ratio(up: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, k, u).ratio() for u, k in zip(up, key)], dtype=float)
 
-    scored = rest.join(pieces, F.lit(True)).mapInPandas(similar, f"{token} string, key string, score double").where(F.col("score") >= least)
-    top = scored.groupBy(token).agg(F.min_by(F.struct("key", "score"), F.struct(-F.col("score"), "key")).alias("m")).select(token, F.col("m.key").alias("key"), F.col("m.score").alias("score"))
-    return exact.union(top.join(names, "key").select(token, name, "score"))
+    top = pairs.withColumn("score", ratio("up", "key")).where(F.col("score") >= least).groupBy("up").agg(F.min_by(F.struct("key", "score"), F.struct(-F.col("score"), "key")).alias("m"))
+    found = distinct.join(top, "up").select(token, F.col("m.key").alias("key"), F.col("m.score").alias("score"))
+    return exact.union(found.join(names, "key").select(token, name, "score"))
 
 
-#: Digits that scanning takes for each other.
-CONFUSED = {"0": "689", "1": "74", "2": "7", "3": "85", "4": "19", "5": "36", "6": "058", "7": "12", "8": "3069", "9": "048"}
+#: Digits that scanning takes for each other, likelier ones first.
+CONFUSED = {"0": "689", "1": "74", "3": "85", "4": "1", "5": "368", "6": "058", "7": "1", "8": "360", "9": "03"}
 
 
 def repaired_dates(rows: DataFrame, date: str, centre: str, days: int = 730) -> Column:
@@ -122,7 +168,7 @@ def repaired_dates(rows: DataFrame, date: str, centre: str, days: int = 730) ->
     text = F.date_format(date, "yyyy-MM-dd")
     swaps = F.create_map(*[F.lit(x) for k, v in CONFUSED.items() for x in (k, v)])
     place = F.array(*map(F.lit, (1, 2, 3, 4, 6, 7, 9, 10)))
-    made = F.flatten(F.transform(place, lambda i: F.transform(F.split(F.element_at(swaps, F.substring(text, i, F.lit(1))), ""), lambda d: F.concat(F.substring(text, F.lit(1), i - 1), d, F.substring(text, i + 1, F.lit(10))))))
+    made = F.flatten(F.transform(place, lambda i: F.transform(F.split(F.coalesce(F.try_element_at(swaps, F.substring(text, i, F.lit(1))), F.lit("")), ""), lambda d: F.concat(F.substring(text, F.lit(1), i - 1), d, F.substring(text, i + 1, F.lit(10))))))
     near = F.filter(F.transform(made, lambda s: F.struct(F.abs(F.datediff(s.try_cast("date"), F.col(centre))).alias("gap"), s.try_cast("date").alias("d"))), lambda x: x["gap"] <= days)
     return F.array_min(near)["d"]
 

@@ -98,10 +98,17 @@ def jn18(spark, sf_dir):
 
 @query("jn13_nearest_case", PRELUDE + ", b AS (SELECT party, case_id, volume * 100 + day(d) AS at FROM cases) SELECT a.case_id, min_by(b.case_id, (abs(a.at - b.at), b.case_id)) AS nearest FROM b a JOIN b ON a.party = b.party AND a.case_id <> b.case_id GROUP BY 1")
 def jn13(spark, sf_dir):
-    """For each case of a party the nearest other one, the first on ties; a party's cases are few."""
+    """For each case of a party the nearest other one, the first on ties: of equal places the smallest ids, before and after."""
     b = cases(spark, sf_dir).select("party", "case_id", (F.col("volume") * 100 + F.dayofmonth("date")).alias("at"))
-    other = b.select("party", F.col("case_id").alias("o"), F.col("at").alias("at_o"))
-    return b.join(other, "party").where("case_id <> o").groupBy("case_id").agg(F.min_by("o", F.struct(F.abs(F.col("at") - F.col("at_o")), "o")).alias("nearest"))
+    first = b.groupBy("party", "at").agg(F.min("case_id").alias("o1"))
+    second = b.join(first, ["party", "at"]).where("case_id <> o1").groupBy("party", "at").agg(F.min("case_id").alias("o2"))
+    w = Window.partitionBy("party").orderBy("at")
+    near = first.join(second, ["party", "at"], "left").withColumns({"b": F.lag(F.struct("at", F.col("o1").alias("o"))).over(w), "a": F.lead(F.struct("at", F.col("o1").alias("o"))).over(w)})
+    own = F.when(F.col("case_id") == F.col("o1"), F.col("o2")).otherwise(F.col("o1"))
+    same = F.when(own.isNotNull(), F.struct(F.lit(0).cast("long").alias("gap"), own.alias("o")))
+    option = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("at") - F.col(f"{c}.at")).cast("long").alias("gap"), F.col(f"{c}.o").alias("o")))
+    best = F.array_min(F.array_compact(F.array(same, option("b"), option("a"))))["o"]
+    return b.join(near, ["party", "at"]).select("case_id", best.alias("nearest")).where("nearest IS NOT NULL")
 
 
 @query("flt14_overflow", "SELECT doc_id, length(text) AS n, lang, count(*) OVER (PARTITION BY lang) AS n_in_lang FROM documents WHERE length(text) > 3000")

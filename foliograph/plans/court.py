@@ -21,6 +21,11 @@ def centred(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.join(F.broadcast(w), "k").drop("k")
 
 
+def by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of members per day, then put in windows: what happens in a case doesn't depend on the window."""
+    return assign(behaviour.positions_by_day(votes(spark, sf_dir)), bounds(cases(spark, sf_dir)), WINDOW)
+
+
 @query("win1_sliding_windows", PRELUDE + "SELECT k, window_start, window_end, window_center FROM win")
 def win1(spark, sf_dir):
     return windows(bounds(cases(spark, sf_dir)), WINDOW)
@@ -37,8 +42,8 @@ def win2(spark, sf_dir):
     round(count(*) FILTER (role = 'dissent') / count(*), 4) AS dissent_rate FROM placed GROUP BY ALL""",
 )
 def agg20(spark, sf_dir):
-    rates = behaviour.dissent_rates(placed(spark, sf_dir))
-    return centred(rates.join(members(spark, sf_dir), "member"), spark, sf_dir)
+    rates = behaviour.dissent_rates_by_day(votes(spark, sf_dir), lambda df: assign(df, bounds(cases(spark, sf_dir)), WINDOW))
+    return centred(rates, spark, sf_dir)
 
 
 CO_DISSENT = """, dis AS (SELECT {by} case_id, member FROM {rows} WHERE role = 'dissent'),
@@ -82,7 +87,7 @@ j AS (SELECT part.*, up FROM part JOIN side USING (k, case_id, bloc))
     round(count(*) FILTER (maj = up) / count(*), 4) AS bloc_agreement_rate, round(count(*) FILTER (maj <> up) / count(*), 4) AS deviation_score FROM j GROUP BY ALL""",
 )
 def agg23(spark, sf_dir):
-    return centred(behaviour.bloc_deviation(placed(spark, sf_dir)), spark, sf_dir)
+    return centred(behaviour.bloc_deviation(by_day(spark, sf_dir)), spark, sf_dir)
 
 
 @query(
@@ -91,24 +96,28 @@ def agg23(spark, sf_dir):
     round(count(*) FILTER (maj = up) / count(*), 4) AS alignment_with_own_bloc, round(count(*) FILTER (NOT maj) / count(*), 4) AS dissent_rate FROM j GROUP BY ALL""",
 )
 def agg24(spark, sf_dir):
-    return centred(behaviour.drift(placed(spark, sf_dir)), spark, sf_dir)
+    return centred(behaviour.drift(by_day(spark, sf_dir)), spark, sf_dir)
+
+
+def rounded_sql(a: str, b: str) -> str:
+    return f"sign({a}) * CAST((abs({a}) * 20000::HUGEINT + {b}) // ({b} * 2::HUGEINT) AS DOUBLE) / 10000"
 
 
 AGREEMENT = """, s AS (SELECT {by} case_id, member, bloc, bool_or(role = 'majority') AS maj, bool_or(role = 'dissent') AS dis FROM {rows} GROUP BY ALL),
-r AS (SELECT {by} member, count(*) FILTER (dis) / count(*) AS rate FROM s GROUP BY ALL),
+r AS (SELECT {by} member, count(*) FILTER (dis) AS d, count(*) AS t FROM s GROUP BY ALL),
 q AS (SELECT {abys} a.member AS member_a, b.member AS member_b, a.bloc AS bloc_a, b.bloc AS bloc_b, count(*) AS n, count(*) FILTER (a.maj = b.maj) AS agreements
-      FROM s a JOIN s b ON a.case_id = b.case_id {on} AND a.member < b.member GROUP BY ALL HAVING count(*) >= {least})
-SELECT {qby} member_a, member_b, n AS cases_both_participated, agreements, round(agreements / n, 4) AS observed_agreement,
-round(1 - (ra.rate + rb.rate - ra.rate * rb.rate), 4) AS expected_agreement, round(agreements / n - (1 - (ra.rate + rb.rate - ra.rate * rb.rate)), 4) AS affinity_score,
-bloc_a = bloc_b AND bloc_a <> 'Unknown' AS same_bloc FROM q JOIN r ra ON ra.member = member_a {ona} JOIN r rb ON rb.member = member_b {onb}"""
+      FROM s a JOIN s b ON a.case_id = b.case_id {on} AND a.member < b.member GROUP BY ALL HAVING count(*) >= {least}),
+f AS (SELECT q.*, (ra.t - ra.d) * (rb.t - rb.d) AS e, ra.t * rb.t AS f FROM q JOIN r ra ON ra.member = member_a {ona} JOIN r rb ON rb.member = member_b {onb})
+SELECT {fby} member_a, member_b, n AS cases_both_participated, agreements, """ + rounded_sql("agreements", "n") + " AS observed_agreement, " + rounded_sql("e", "f") + """ AS expected_agreement,
+""" + rounded_sql("(agreements * f - e * n)", "(n * f)") + " AS affinity_score, bloc_a = bloc_b AND bloc_a <> 'Unknown' AS same_bloc FROM f"
 
 
-@query("agg25_agreement_normalized", PRELUDE + AGREEMENT.format(by="", rows="votes", abys="", on="", least=20, qby="", ona="", onb=""))
+@query("agg25_agreement_normalized", PRELUDE + AGREEMENT.format(by="", rows="votes", abys="", on="", least=20, fby="", ona="", onb=""))
 def agg25(spark, sf_dir):
     return behaviour.agreement(votes(spark, sf_dir), 20)
 
 
-@query("agg27_agreement_windowed", PRELUDE + AGREEMENT.format(by="k,", rows="placed", abys="a.k,", on="AND a.k = b.k", least=5, qby="q.k,", ona="AND ra.k = q.k", onb="AND rb.k = q.k"))
+@query("agg27_agreement_windowed", PRELUDE + AGREEMENT.format(by="k,", rows="placed", abys="a.k,", on="AND a.k = b.k", least=5, fby="k,", ona="AND ra.k = q.k", onb="AND rb.k = q.k"))
 def agg27(spark, sf_dir):
     return behaviour.agreement(placed(spark, sf_dir), 5, ("k",))
 

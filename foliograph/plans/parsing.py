@@ -31,13 +31,45 @@ def fsm1(spark, sf_dir):
     return found.select("volume", number.try_cast("long").alias("case_id"), F.try_to_timestamp(when, F.lit("MMMM d, yyyy")).cast("date").alias("date"), "start_line")
 
 
+def vote_statements(spark, sf_dir):
+    """(case_id, raw): the votes of a case in one sentence with a verb for each side, then who joins whose dissent."""
+    name = F.concat(F.lit("Member"), F.col("member").cast("string"))
+    v = votes(spark, sf_dir).select("case_id", "role", "member", name.alias("name")).distinct()
+    lists = v.groupBy("case_id").agg(*[F.transform(F.sort_array(F.collect_list(F.when(F.col("role") == r, F.struct("member", "name")))), lambda x: x["name"]).alias(r) for r in ("majority", "dissent")])
+    both = F.array_compact(F.array(*[F.when(F.size(r) > 0, F.concat(F.array_join(r, ", "), F.lit(f", JJ., {verb}"))) for r, verb in (("majority", "con- cur"), ("dissent", "dissent"))]))
+    others = F.slice("dissent", 2, 100)
+    joins = F.when(F.size("dissent") > 1, F.concat(F.lit(" "), F.array_join(others, " and "), F.lit(", JJ., join the dissenting opinion of Justice "), F.get("dissent", 0), F.lit("."))).otherwise("")
+    return lists.select("case_id", F.concat(F.array_join(both, " and "), F.lit(".")).alias("raw"), joins.alias("joins"))
+
+
 @query("fsm7_vote_statements", PRELUDE + "SELECT DISTINCT case_id, CASE role WHEN 'dissent' THEN 'dissenting' ELSE 'concurring' END AS category, 'Member' || member AS name FROM votes")
 def fsm7(spark, sf_dir):
-    name = F.concat(F.lit("Member"), F.col("member").cast("string"))
-    v = votes(spark, sf_dir).select("case_id", "role", name.alias("name")).distinct()
-    lists = v.groupBy("case_id").agg(*[F.sort_array(F.collect_list(F.when(F.col("role") == r, F.col("name")))).alias(r) for r in ("majority", "dissent")])
-    said = F.concat(*[F.when(F.size(r) > 0, F.concat(F.array_join(r, ", "), F.lit(f", JJ., {verb}. "))).otherwise("") for r, verb in (("majority", "concur"), ("dissent", "dissent"))])
-    return records_text.votes_in(lists.select("case_id", said.alias("raw")), "case_id", "raw").select("case_id", "category", "name").distinct()
+    return records_text.votes_in(vote_statements(spark, sf_dir), "case_id", "raw").select("case_id", "category", "name").distinct()
+
+
+@query(
+    "fsm9_joined_dissents",
+    PRELUDE + ", d AS (SELECT DISTINCT case_id, member FROM votes WHERE role = 'dissent') SELECT d.case_id, 'Member' || d.member AS joiner, 'Member' || t.member AS target FROM d JOIN (SELECT case_id, min(member) AS member FROM d GROUP BY 1) t ON t.case_id = d.case_id AND t.member < d.member",
+)
+def fsm9(spark, sf_dir):
+    """Who joins whose dissent, parsed from the text; these pairs are the third kind of edge."""
+    return records_text.joined_dissents(vote_statements(spark, sf_dir), "case_id", "joins")
+
+
+@query(
+    "jn10_str17_surnames",
+    PRELUDE + """, t AS (SELECT member, bloc, 'Name' || (member % 7) AS surname FROM members), asked AS (SELECT case_id, bloc, 'Name' || (member % 7) AS surname FROM votes)
+    SELECT asked.case_id, asked.bloc, asked.surname, min(t.member) AS member FROM asked JOIN t ON t.bloc = asked.bloc AND t.surname = asked.surname GROUP BY ALL""",
+)
+def jn10(spark, sf_dir):
+    """Names as cases spell them to members: same appointer and same last word, suffixes apart; the first one counts."""
+    from foliograph.functions import fields
+    from foliograph.plans.base import members
+
+    surname = F.concat(F.lit("Name"), F.col("member") % 7)
+    known = members(spark, sf_dir).select("bloc", "member", fields.surname_key(F.concat(F.lit("A. B. "), surname, F.lit(", Jr."))).alias("key")).groupBy("bloc", "key").agg(F.min("member").alias("member"))
+    asked = votes(spark, sf_dir).select("case_id", "bloc", surname.alias("surname")).distinct().withColumn("key", fields.surname_key(F.upper("surname")))
+    return asked.join(known, ["bloc", "key"]).select("case_id", "bloc", "surname", "member")
 
 
 @query("jn6_fuzzy_names", "SELECT r_name AS name, left(r_name, length(r_name) - 1) || 'X' AS token FROM region UNION ALL SELECT r_name, lower(r_name) FROM region")
@@ -50,7 +82,7 @@ def jn6(spark, sf_dir):
 
 @query("dt6_digit_repair", PRELUDE + "SELECT case_id, d AS date FROM cases WHERE year(d) IN (1998, 1995)")
 def dt6(spark, sf_dir):
-    """Years with a confused last digit (1998 as 1990, 1995 as 1993 or so) are repaired by the volume's median date."""
+    """Years with a confused last digit (1998 as 1990, 1995 as 1998) are repaired by the volume's median date."""
     c = cases(spark, sf_dir)
     medians = records.upper_median(c, "volume", "date", 1)
     broken = c.where(F.year("date").isin(1998, 1995)).withColumn("seen", F.when(F.year("date") == 1998, F.add_months("date", -60)).otherwise(F.add_months("date", -24)))

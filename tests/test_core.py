@@ -12,7 +12,7 @@ import __spark_entry__ as driver
 from foliograph.functions import repair
 from foliograph.operators import lines, network, records, records_text
 from foliograph.operators.windows import Sliding, bounds, windows
-from foliograph.plans import registry
+from foliograph.plans import casefile, registry  # noqa: F401
 from foliograph.sources import readers, writers
 from foliograph.streaming import ingest
 
@@ -74,7 +74,7 @@ def one(spark, expression, text):
     [
         (repair.case_number, "G.R. No, 73155", "G.R. No. 73155"), (repair.division, "FIRST DIVISLON", "FIRST DIVISION"), (repair.division, "SECOND DIVISIION", "SECOND DIVISION"),
         (repair.division, "EN BANC", "EN BANC"), (repair.end_mark, "SOORDERED.", "SO ORDERED."), (repair.end_mark, "SO ORDERED,", "SO ORDERED."), (repair.date_text, "May 30. 1986", "May 30, 1986"),
-        (repair.date_text, "[986", "1986"), (repair.flexible_date, "May 2nd, 1986", dt.date(1986, 5, 2)), (repair.flexible_date, "incumbent", None), (repair.clamped_date, "Feb. 30, 1999", dt.date(1999, 2, 28)),
+        (repair.date_text, "[986", "1986"), (repair.date_text, "[976", "[976"), (repair.ponente, "PER CURIAM,", "PER CURIAM"), (repair.concur, "JJ., con cur", "JJ., concur"), (repair.flexible_date, "May 2nd, 1986", dt.date(1986, 5, 2)), (repair.flexible_date, "incumbent", None), (repair.clamped_date, "Feb. 30, 1999", dt.date(1999, 2, 28)),
         (repair.concur, "they   con- cur", "they concur"), (repair.title_case, "MELENCIO-HERRERA", "Melencio-Herrera"),
     ],
 )
@@ -111,6 +111,43 @@ def test_vote_categories(spark, said, kind):
     assert one(spark, records_text.vote_category, f"Cruz, J., {said}") == kind
 
 
+@pytest.mark.parametrize(
+    "said,want",
+    [
+        ("Cruz, J., concurs and Reyes, J., dissents.", {("concurring", "Cruz"), ("dissenting", "Reyes")}),
+        ("Teehankee, C.J., Yap and J. B. L. Reyes, JJ., concur. Cruz, J., took no part.", {("concurring", "Teehankee"), ("concurring", "Yap"), ("concurring", "J. B. L. Reyes"), ("no_part", "Cruz")}),
+        ("Narvasa (Chairman), Gutierrez, Jr., and Paras, JJ., con- cur.", {("concurring", "Narvasa"), ("concurring", "Gutierrez, Jr."), ("concurring", "Paras")}),
+        ("Feria, J., on official leave. Yap, J., joins the dissent of Cruz.", {("on_leave", "Feria"), ("other", "Yap"), ("other", "Cruz")}),
+        ("", set()), (None, set()),
+    ],
+)
+def test_votes_by_verb(spark, said, want):
+    rows = spark.createDataFrame([(1, said)], "k int, raw string")
+    assert {(r.category, r.name) for r in records_text.votes_in(rows, "k", "raw").collect()} == want
+
+
+def test_joined_dissents(spark):
+    rows = spark.createDataFrame([(1, "Yap and Cruz, JJ., join the dissenting opinion of Justice Reyes. Paras, J., concurs in Sarmiento's dissent.")], "k int, raw string")
+    got = {(r.joiner, r.target) for r in records_text.joined_dissents(rows, "k", "raw").collect()}
+    assert {("Yap", "Reyes"), ("Cruz", "Reyes")} <= got and ("Paras", "Sarmiento") in got
+
+
+def test_fuzzy_by_brute_force(spark):
+    from difflib import SequenceMatcher
+    import random
+
+    draw = random.Random(6)
+    names = sorted({"".join(draw.choice("ABCDE") for _ in range(draw.randint(2, 9))) for _ in range(60)})
+    tokens = sorted({"".join(draw.choice("ABCDE") for _ in range(draw.randint(2, 9))) for _ in range(120)} - set(names))
+    want = {}
+    for t in tokens:
+        score, name = max(((SequenceMatcher(None, n, t).ratio(), n) for n in names), key=lambda x: (x[0], [-ord(c) for c in x[1]], -len(x[1])))
+        if score >= 0.75:
+            want[t] = score
+    got = records_text.best_match(spark.createDataFrame([(t,) for t in tokens], "token string"), spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    assert {r.token: r.score for r in got} == want
+
+
 def test_fuzzy(spark):
     names = spark.createDataFrame([("Aquino",), ("Melencio-Herrera",)], "name string")
     tokens = spark.createDataFrame([("AQUINO",), ("Aqvino",), ("Zzz",)], "token string")
