@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from foliograph.operators import records, records_text
+from foliograph.operators import records, records_text, sections
 from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
 
@@ -151,3 +151,37 @@ def str1(spark, sf_dir):
     """Runs of blank lines and spaces shortened, line ends and the text's ends trimmed; by digest."""
     t = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "\n{3,}", "\n\n"), r"(?m)[ \t]+$", ""), " {2,}", " ")
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.btrim(t, F.lit(" \n\t"))).alias("cleaned"))
+
+
+def case_lines(spark, sf_dir):
+    """(volume, case_id, line_no, line): cases with all their sections as court text, the body of two to four lines."""
+    body = F.transform(F.sequence(F.lit(1), (F.col("case_id") % 3 + 2).cast("int")), lambda k: F.concat(F.lit("Reason "), k.cast("string"), F.lit(" of the court for what it holds.")))
+    head = F.array(
+        F.lit("FIRST DIVISION"), F.lit(""), F.concat(F.lit("[G.R. No. "), F.col("case_id").cast("string"), F.lit(". "), F.date_format("date", "MMMM d, yyyy"), F.lit("]")), F.lit("--- Page 7 ---"),
+        F.concat(F.lit("CUSTOMER "), F.col("party").cast("string"), F.lit(", petitioner,")), F.lit("vs. THE STATE, respondent."), F.lit(""), F.lit("SYLLABUS"), F.lit("1. RULE; what it says."), F.lit("2. OTHER RULE; what it says."),
+        F.lit(""), F.lit("APPEARANCES OF COUNSEL"), F.lit("Law Office for petitioner."), F.lit("The Solicitor for respondent."), F.lit(""), F.lit("D E C I S I O N"), F.lit(""), F.lit("CRUZ, J.:"), F.lit(""),
+    )
+    tail = F.array(F.lit("WHEREFORE, the petition is granted."), F.lit("SO ORDERED."), F.lit(""), F.lit("Yap (Chairman), Reyes and Paras, JJ., concur."), F.lit("Feria, J., on leave."), F.lit(""))
+    opinion = F.when(F.col("case_id") % 4 == 0, F.array(F.lit("SARMIENTO, J., dissenting:"), F.lit(""), F.lit("I hold otherwise."), F.lit("For these reasons."), F.lit("And so I dissent."), F.lit(""), F.lit("PADILLA, J., concurring:"), F.lit("I agree."))).otherwise(F.array().cast("array<string>"))
+    each = cases(spark, sf_dir).select("volume", "case_id", F.posexplode(F.concat(head, body, tail, opinion)).alias("i", "line"))
+    return each.select("volume", "case_id", (F.col("i") + 1).alias("line_no"), "line")
+
+
+@query(
+    "fsm4_case_sections",
+    PRELUDE + """, b AS (SELECT case_id, CAST(case_id % 3 + 2 AS INTEGER) AS m FROM cases), f AS (SELECT * FROM (VALUES ('division', 1, 1), ('case_number', 3, 3), ('parties', 5, 6), ('syllabus', 9, 10), ('counsel', 13, 14), ('doc_type', 16, 16), ('ponente', 18, 18)) t(label, a, z))
+    SELECT case_id, label, a AS start_line, z AS end_line FROM b, f UNION ALL SELECT case_id, 'decision', 20, 21 + m FROM b UNION ALL SELECT case_id, 'votes', 23 + m, 24 + m FROM b
+    UNION ALL SELECT case_id, 'opinion', 26 + m, 30 + m FROM b WHERE case_id % 4 = 0 UNION ALL SELECT case_id, 'opinion', 32 + m, 33 + m FROM b WHERE case_id % 4 = 0""",
+)
+def fsm4(spark, sf_dir):
+    """Sections of cases found again in their text."""
+    return sections.sections(case_lines(spark, sf_dir)).select("case_id", "label", "start_line", "end_line")
+
+
+@query("fsm2_displaced_endings", PRELUDE + "SELECT volume, case_id, 10 + CASE WHEN case_id % 3 = 0 THEN 5 ELSE 0 END AS end_line FROM cases WHERE case_id % 2 = 0 AND volume IS NOT NULL QUALIFY row_number() OVER (PARTITION BY volume ORDER BY case_id) = 1")
+def fsm2(spark, sf_dir):
+    """The first even case of each volume ends at line 10 without an order; where one follows at line 15 it is taken in."""
+    first = cases(spark, sf_dir).where("case_id % 2 = 0").groupBy("volume").agg(F.min("case_id").alias("case_id"))
+    ends = first.select("volume", "case_id", F.lit(1).alias("start_line"), F.lit(10).alias("end_line"))
+    marks = F.when(F.col("case_id") % 3 == 0, F.array(F.struct(F.lit(15).alias("line_no"), F.lit("SO ORDERED.").alias("line")), F.struct(F.lit(20).alias("line_no"), F.lit("DECISION").alias("line")))).otherwise(F.array(F.struct(F.lit(12).alias("line_no"), F.lit("DECISION").alias("line")), F.struct(F.lit(30).alias("line_no"), F.lit("SO ORDERED.").alias("line"))))
+    return sections.displaced_endings(first.select("volume", F.inline(marks)), ends)

@@ -117,7 +117,7 @@ def test_vote_categories(spark, said, kind):
         ("Cruz, J., concurs and Reyes, J., dissents.", {("concurring", "Cruz"), ("dissenting", "Reyes")}),
         ("Teehankee, C.J., Yap and J. B. L. Reyes, JJ., concur. Cruz, J., took no part.", {("concurring", "Teehankee"), ("concurring", "Yap"), ("concurring", "J. B. L. Reyes"), ("no_part", "Cruz")}),
         ("Narvasa (Chairman), Gutierrez, Jr., and Paras, JJ., con- cur.", {("concurring", "Narvasa"), ("concurring", "Gutierrez, Jr."), ("concurring", "Paras")}),
-        ("Feria, J., on official leave. Yap, J., joins the dissent of Cruz.", {("on_leave", "Feria"), ("other", "Yap"), ("other", "Cruz")}),
+        ("Feria, J., on official leave. Yap, J., joins the opinion of Cruz.", {("on_leave", "Feria"), ("other", "Yap"), ("other", "Cruz")}),
         ("", set()), (None, set()),
     ],
 )
