@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliograph.operators import network
-from foliograph.plans.base import PRELUDE, cases, votes
+from foliograph.operators.windows import assign, bounds
+from foliograph.plans.base import PRELUDE, WINDOW, cases, votes
 from foliograph.plans.registry import query
 
 EDGES = PRELUDE + """, ord AS (SELECT case_id, member, role, row_number() OVER (PARTITION BY case_id, role ORDER BY member) AS i, count(*) OVER (PARTITION BY case_id, role) AS n FROM votes),
@@ -73,5 +74,29 @@ def flt5(spark, sf_dir):
 
 @query("fsm13_communities")
 def fsm13(spark, sf_dir):
-    """Communities of the co-voting graph by deterministic label propagation (no SQL twin: iterative)."""
-    return network.propagate_labels(network.edges(votes(spark, sf_dir)))
+    """Communities of the co-voting graph, a local optimum of weight inside them (no SQL twin: iterative; tested for that)."""
+    return network.communities(network.edges(votes(spark, sf_dir)))
+
+
+@query(
+    "fsm14_window_edges",
+    PRELUDE + """, ord AS (SELECT k, case_id, member, role, row_number() OVER (PARTITION BY k, case_id, role ORDER BY member) AS i, count(*) OVER (PARTITION BY k, case_id, role) AS n FROM placed)
+    SELECT a.k, least(a.member, b.member) AS source, greatest(a.member, b.member) AS target, count(*) AS weight FROM ord a JOIN ord b ON a.k = b.k AND a.case_id = b.case_id AND a.role = b.role AND a.i < b.i WHERE a.role = 'majority' OR a.n >= 2 GROUP BY ALL""",
+)
+def fsm14(spark, sf_dir):
+    """The graph of each window, loops included."""
+    return network.window_edges(votes(spark, sf_dir), lambda df: assign(df, bounds(cases(spark, sf_dir)), WINDOW))
+
+
+@query("agg35_symmetric_matrix", EDGES + "SELECT s AS row_member, sum(weight) FILTER (t % 3 = 0) AS thirds, count(*) AS filled FROM (SELECT source AS s, target AS t, weight FROM edges UNION ALL SELECT target, source, weight FROM edges) GROUP BY 1")
+def agg35(spark, sf_dir):
+    """Both halves of a symmetric matrix, summed by row over a class of columns; no entry is none."""
+    both = network.adjacency(network.edges(votes(spark, sf_dir)))
+    return both.groupBy(F.col("row").alias("row_member")).agg(F.sum(F.when(F.col("column") % 3 == 0, F.col("weight"))).alias("thirds"), F.count("*").alias("filled"))
+
+
+@query("fsm12_tracked_communities")
+def fsm12(spark, sf_dir):
+    """Blocs of each window's dissenters, tracked from window to window (no SQL twin: greedy, in order)."""
+    placed = assign(votes(spark, sf_dir).where("role = 'dissent'").select("member", "bloc", "date"), bounds(cases(spark, sf_dir)), WINDOW)
+    return network.tracked(placed.select("k", F.col("bloc").alias("community"), "member").distinct())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliograph.functions import fields, repair
+
 SPAN = "label STRING, text STRING, `group` INT, start_char INT, end_char INT, start_page INT, end_page INT, detection_method STRING"
 CASE = f"case_id STRING, annotations ARRAY<STRUCT<{', '.join(x.replace(' ', ': ', 1) for x in SPAN.split(', '))}>>, status STRING, notes STRING"
 CASE_TYPE = CASE.replace("case_id STRING", "case_id: STRING").replace(", annotations ", ", annotations: ").replace(", status ", ", status: ").replace(", notes ", ", notes: ")
@@ -59,3 +61,34 @@ def pasted(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(volume, case_number) of pasted tab-separated lines; malformed ones are left out."""
     part = F.split("value", "\t")
     return lines.where(F.size(part) >= 2).select(F.regexp_extract(part[0], r"(\d+)", 1).try_cast("int").alias("volume"), F.trim(part[1]).alias("case_number")).where("volume IS NOT NULL AND case_number <> ''")
+
+
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, name) of a registry {description, justices}; none for a file that is missing or doesn't parse."""
+    read = spark.read.schema("description STRING, justices ARRAY<STRING>, _corrupt_record STRING").option("multiLine", True).option("ignoreMissingFiles", True)
+    return read.json(path).where("_corrupt_record IS NULL").select(F.posexplode("justices").alias("ord", "name"))
+
+
+TERMS_CSV = "`No.` STRING, Name STRING, `Birth Year` STRING, `Death Year` STRING, Position STRING, Succeeded STRING, `Tenure Start` STRING, `Tenure End` STRING, `Tenure Length` STRING, `Appointed By` STRING"
+
+
+def terms(spark: SparkSession, path: str) -> DataFrame:
+    """(name, position, start, end, days, appointed_by) of a CSV of terms of office; end is null for incumbents."""
+    rows = spark.read.schema(TERMS_CSV).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return rows.select(
+        F.trim("Name").alias("name"), "Position", repair.flexible_date(F.col("`Tenure Start`")).alias("start"), repair.flexible_date(F.col("`Tenure End`")).alias("end"),
+        fields.term_days(F.col("`Tenure Length`")).alias("days"), F.col("`Appointed By`").alias("appointed_by"),
+    ).withColumnRenamed("Position", "position")
+
+
+def scans(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """(name, volume, length, mtime) of scanned files that are not searchable copies, of an inclusive range of volumes."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("name"), "length", F.col("modificationTime").alias("mtime"))
+    files = files.where(~F.col("name").contains("_searchable")).withColumn("volume", fields.volume_number(F.col("name")))
+    ranged = F.lit(True)
+    if first is not None:
+        ranged &= F.col("volume") >= first
+    if last is not None:
+        ranged &= F.col("volume") <= last
+    return files.where(ranged).select("name", "volume", "length", "mtime")

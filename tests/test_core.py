@@ -168,9 +168,46 @@ def test_merge_prefers_earlier_llm(spark):
 
 
 def test_communities(spark):
-    clique = [(a, b, 5) for a in range(4) for b in range(a + 1, 4)] + [(a, b, 5) for a in range(10, 14) for b in range(a + 1, 14)] + [(3, 10, 1)]
-    got = {r.node: r.community for r in network.propagate_labels(spark.createDataFrame(clique, "source int, target int, weight long")).collect()}
-    assert len({got[k] for k in range(4)}) == 1 and len({got[k] for k in range(10, 14)}) == 1 and got[0] != got[13]
+    clique = [(a, b, 5) for a in range(4) for b in range(a + 1, 4)] + [(a, b, 5) for a in range(10, 14) for b in range(a + 1, 14)] + [(3, 10, 1), (20, 21, 1), (30, 31, 2), (31, 32, 1)]
+    got = {r.node: r.community for r in network.communities(spark.createDataFrame(clique, "source int, target int, weight long")).collect()}
+    assert len({got[k] for k in range(4)}) == 1 and len({got[k] for k in range(10, 14)}) == 1 and got[0] != got[13] and got[20] == got[21]
+    for node in got:  # no node weighs more with another community
+        weight = {}
+        for a, b, w in clique:
+            for x, y in ((a, b), (b, a)):
+                if x == node:
+                    weight[got[y]] = weight.get(got[y], 0) + w
+        assert max(weight.values()) == weight.get(got[node], 0)
+
+
+def test_tracks(spark):
+    rows = [(0, "a", 1), (0, "a", 2), (0, "b", 3), (0, "b", 4), (1, "x", 3), (1, "x", 4), (1, "y", 1), (1, "y", 2), (1, "z", 9), (3, "q", 1)]
+    got = {(r.k, r.community): r.track for r in network.tracked(spark.createDataFrame(rows, "k int, community string, member int")).collect()}
+    assert got == {(0, "a"): 0, (0, "b"): 1, (1, "x"): 1, (1, "y"): 0, (1, "z"): 2, (3, "q"): 3}
+
+
+def test_dimensions_and_reports(spark, tmp_path):
+    (tmp_path / "r.json").write_text(json.dumps({"description": "d", "justices": ["Cruz", "Yap"]}))
+    assert [r.name for r in readers.registry(spark, f"{tmp_path}/r.json").orderBy("ord").collect()] == ["Cruz", "Yap"]
+    writers.registry_json(spark.createDataFrame([("yap",), ("Cruz",), ("Yap",)], "name string"), f"{tmp_path}/r2", "d")
+    assert [r.name for r in readers.registry(spark, f"{tmp_path}/r2").orderBy("ord").collect()] == ["Cruz", "Yap"]
+    (tmp_path / "t.csv").write_text('No.,Name,Birth Year,Death Year,Position,Succeeded,Tenure Start,Tenure End,Tenure Length,Appointed By\n1,A B,1,2,CJ,x,June 15 1901,Incumbent,18 years 302 days,P\n')
+    r = readers.terms(spark, f"{tmp_path}/t.csv").first()
+    assert (r.start, r.end, r.days, r.appointed_by) == (dt.date(1901, 6, 15), None, 18 * 365 + 302, "P")
+    (tmp_path / "pdf").mkdir()
+    for name in ("Volume_7.pdf", "Volume_7_searchable.pdf", "Volume_9.pdf"):
+        (tmp_path / "pdf" / name).write_bytes(b"x")
+    assert [r.name for r in readers.scans(spark, f"{tmp_path}/pdf", 1, 8).collect()] == ["Volume_7.pdf"]
+    rows = spark.createDataFrame([(8, "G.R. 1", ["A", "B"]), (7, " ", []), (7, "G.R. 2", [])], "volume int, case_number string, concurring array<string>")
+    rows = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in writers.CASE_COLUMNS if c not in rows.columns])
+    writers.case_csv(rows, f"{tmp_path}/cases")
+    back = readers.case_csv(spark, f"{tmp_path}/cases").orderBy("volume").collect()
+    assert [(r.volume, r.case_number, r.concurring) for r in back] == [("7", "G.R. 2", []), ("8", "G.R. 1", ["A", "B"])]
+    text = spark.createDataFrame([("v", k, f"line {k}") for k in range(1, 30)], "volume string, line_no int, line string")
+    span = spark.createDataFrame([("v", "c1", "date", 10, 11)], "volume string, case_id string, label string, start_line int, end_line int")
+    writers.excerpts_markdown(span, text, f"{tmp_path}/md", 2)
+    got = [r.value for r in spark.read.text(f"{tmp_path}/md", wholetext=False).collect()]
+    assert "## c1: date" in got and "> line 8" in got and "> line 13" in got and "> line 14" not in got
 
 
 def test_files(spark, tmp_path):
