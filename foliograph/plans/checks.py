@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from foliograph.operators import names
 from foliograph.plans.base import PRELUDE, cases, members, table, votes
 from foliograph.plans.court import placed
 from foliograph.plans.registry import query
@@ -76,16 +77,18 @@ def agg40(spark, sf_dir):
 
 @query(
     "jn9_tiered_resolution",
-    """WITH s AS (SELECT s_suppkey, s_name, s_nationkey FROM supplier), t AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
-    SELECT s_suppkey, coalesce(a.r_name, b.r_name, 'none') AS bloc, CASE WHEN a.r_name IS NOT NULL THEN 1 WHEN b.r_name IS NOT NULL THEN 2 ELSE 0 END AS tier
-    FROM s LEFT JOIN t a ON a.n_nationkey = s_nationkey AND a.r_name <> 'ASIA' LEFT JOIN t b ON b.n_nationkey = s_nationkey""",
+    """SELECT CASE s_suppkey % 5 WHEN 0 THEN 'Given' || s_suppkey || ' Middle Sur' || s_suppkey WHEN 1 THEN 'Nick' || s_suppkey WHEN 2 THEN 'SUR' || s_suppkey || ', GIVEN' || s_suppkey WHEN 3 THEN 'X. Sur' || s_suppkey ELSE 'Nobody' || s_suppkey END AS node,
+    CASE WHEN s_suppkey % 5 < 4 THEN 'Given' || s_suppkey || ' Middle Sur' || s_suppkey END AS person, CASE WHEN s_suppkey % 5 < 4 THEN s_suppkey % 5 END AS tier FROM supplier""",
 )
 def jn9(spark, sf_dir):
-    """First tier that resolves a record: an exact one with restrictions, then a wider one."""
-    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")).select(F.col("n_nationkey").alias("s_nationkey"), "r_name")
-    first, second = nation.where("r_name <> 'ASIA'").withColumnRenamed("r_name", "a"), nation.withColumnRenamed("r_name", "b")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(first, "s_nationkey", "left").join(second, "s_nationkey", "left")
-    return s.select("s_suppkey", F.coalesce("a", "b", F.lit("none")).alias("bloc"), F.when(F.col("a").isNotNull(), 1).when(F.col("b").isNotNull(), 2).otherwise(0).alias("tier"))
+    """Names as cases spell them to persons: in full, by an alias, by their words in any order, by a unique last word."""
+    k = F.col("s_suppkey").cast("string")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
+    full = F.concat(F.lit("Given"), k, F.lit(" Middle Sur"), k)
+    forms = F.array(full, F.concat(F.lit("Nick"), k), F.concat(F.lit("SUR"), k, F.lit(", GIVEN"), k), F.concat(F.lit("X. Sur"), k), F.concat(F.lit("Nobody"), k))
+    nodes = s.select(F.element_at(forms, (F.col("s_suppkey") % 5 + 1).cast("int")).alias("node"))
+    aliases = s.select(F.concat(F.lit("NICK"), k).alias("alias"), F.concat(F.lit("Sur"), k).alias("target"))
+    return names.resolved(nodes, s.select(F.col("s_suppkey").alias("ord"), full.alias("person")), aliases)
 
 
 @query("jn18_lookup", PRELUDE + ", q AS (SELECT DISTINCT l_partkey AS asked FROM lineitem) SELECT asked, case_id, CASE WHEN case_id IS NULL THEN 'not found' ELSE 'ok' END AS outcome FROM q LEFT JOIN cases ON case_id = asked")
@@ -185,10 +188,15 @@ def agg34(spark, sf_dir):
     return m.select("bloc", F.array_join(F.transform("m", lambda x: x.cast("string")), "; ").alias("members"), F.size("m").cast("long").alias("n"))
 
 
-@query("srt9_stratified_sample", "SELECT o_orderpriority AS bucket, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1")
+@query(
+    "srt9_stratified_sample",
+    "SELECT bucket, id FROM (SELECT o_orderpriority AS bucket, o_orderkey AS id, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(o_orderkey || ':42'), o_orderkey) AS rn FROM orders) WHERE rn = 1 OR rn % 100 = 0",
+)
 def srt9(spark, sf_dir):
-    """One representative of each stratum (a grouped minimum; the sample is the feature) with the stratum's size."""
-    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("bucket")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))
+    """A sample (which is the feature): of each stratum the first in a seeded random order, then every hundredth."""
+    w = Window.partitionBy("bucket").orderBy(F.md5(F.concat(F.col("id").cast("string"), F.lit(":42"))), "id")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("bucket"), F.col("o_orderkey").alias("id"))
+    return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1 OR rn % 100 = 0").select("bucket", "id")
 
 
 @query("mth5_budget_gate", PRELUDE + "SELECT case_id, cost, sum(cost) OVER (PARTITION BY volume ORDER BY case_id) AS spent, sum(cost) OVER (PARTITION BY volume ORDER BY case_id) <= 100000 AS allowed FROM (SELECT volume, case_id, CAST(floor(price / 4) AS BIGINT) + 500 AS cost FROM cases)")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from foliograph.functions import fields
 from foliograph.operators import records, records_text, sections
 from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
@@ -63,7 +64,6 @@ def fsm9(spark, sf_dir):
 )
 def jn10(spark, sf_dir):
     """Names as cases spell them to members: same appointer and same last word, suffixes apart; the first one counts."""
-    from foliograph.functions import fields
     from foliograph.plans.base import members
 
     surname = F.concat(F.lit("Name"), F.col("member") % 7)
@@ -92,19 +92,28 @@ def dt6(spark, sf_dir):
 
 @query(
     "mth3_confidence",
-    PRELUDE + """, k AS (SELECT case_id, count(*) AS n, count(DISTINCT member) AS nm, bool_or(role = 'dissent') AS dis FROM votes GROUP BY 1)
+    PRELUDE + """, k AS (SELECT case_id, count(*) AS n, count(DISTINCT member) AS nm, bool_or(role = 'dissent') AS dis FROM votes GROUP BY 1),
+    sp AS (SELECT DISTINCT l_orderkey AS case_id, l_linenumber * 20 AS s, l_linenumber * 20 + CAST(l_quantity AS BIGINT) AS e FROM lineitem),
+    o AS (SELECT case_id, bool_or(s < coalesce(before, 0)) AS overlap FROM (SELECT *, max(e) OVER (PARTITION BY case_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM sp) GROUP BY 1)
     SELECT cases.case_id, round(0.3 * CASE WHEN n IS NOT NULL THEN 1 ELSE 0 END + 0.1 * CASE WHEN price > 20000 THEN 1 ELSE 0.5 END + 0.1 * CASE WHEN n BETWEEN 2 AND 6 THEN 1 ELSE 0 END + 0.1 * CASE WHEN dis THEN 0.5 ELSE 1 END
-    + 0.2 * CASE WHEN nm = n THEN 1 ELSE 0.5 END + 0.1 + 0.1, 3) AS score FROM cases LEFT JOIN k USING (case_id)""",
+    + 0.2 * CASE WHEN nm = n THEN 1 ELSE 0.5 END + 0.1 * CASE WHEN overlap THEN 0 ELSE 1 END + 0.1 * CASE cases.case_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 0.5 ELSE 0 END, 3) AS score FROM cases LEFT JOIN k USING (case_id) LEFT JOIN o USING (case_id)""",
 )
 def mth3(spark, sf_dir):
-    """Seven weighted checks of a case in one score."""
+    """Seven weighted checks of a case in one score, among them spans that overlap and a date that doesn't read as one."""
     k = votes(spark, sf_dir).groupBy("case_id").agg(F.count("*").alias("n"), F.countDistinct("member").alias("nm"), F.max(F.col("role") == "dissent").alias("dis"))
+    s = F.col("l_linenumber") * 20
+    sp = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("case_id"), s.alias("s"), (s + F.col("l_quantity").cast("long")).alias("e")).distinct()
+    before = F.max("e").over(Window.partitionBy("case_id").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1))
+    o = sp.withColumn("before", before).groupBy("case_id").agg(F.max(F.col("s") < F.coalesce("before", F.lit(0))).alias("overlap"))
+    d = F.date_format("date", "MMMM d, yyyy")
+    said = F.when(F.col("case_id") % 3 == 0, d).when(F.col("case_id") % 3 == 1, F.concat(F.lit("("), d, F.lit(")"))).otherwise("n.d.")
     part = lambda test, yes, no: F.when(test, F.lit(float(yes))).otherwise(F.lit(float(no)))
     checks = [
         (0.3, part(F.col("n").isNotNull(), 1, 0)), (0.1, part(F.col("price") > 20000, 1, 0.5)), (0.1, part(F.col("n").between(2, 6), 1, 0)), (0.1, part(F.col("dis"), 0.5, 1)),
-        (0.2, part(F.col("nm") == F.col("n"), 1, 0.5)), (0.1, F.lit(1.0)), (0.1, F.lit(1.0)),
+        (0.2, part(F.col("nm") == F.col("n"), 1, 0.5)), (0.1, part(F.col("overlap"), 0, 1)), (0.1, fields.date_validity(said)),
     ]
-    return cases(spark, sf_dir).join(k, "case_id", "left").select("case_id", F.round(sum((w * c for w, c in checks), F.lit(0.0)), 3).alias("score"))
+    rows = cases(spark, sf_dir).join(k, "case_id", "left").join(o, "case_id", "left")
+    return rows.select("case_id", F.round(sum((w * c for w, c in checks), F.lit(0.0)), 3).alias("score"))
 
 
 @query("fsm10_greedy_spans")

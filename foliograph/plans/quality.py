@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foliograph.functions import fields
 from foliograph.operators import records
 from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
@@ -31,13 +32,13 @@ def dt7(spark, sf_dir):
 
 @query(
     "jn1_era_of_volume",
-    PRELUDE + "SELECT CASE WHEN volume BETWEEN 226 AND 245 THEN 'era1' WHEN volume BETWEEN 246 AND 275 THEN 'era2' ELSE 'era1' END AS era, count(*) AS n_cases, count(DISTINCT volume) AS n_volumes FROM cases GROUP BY 1",
+    PRELUDE + """, sp AS (SELECT 200 + case_id % 820 AS vol FROM cases) SELECT CASE WHEN vol BETWEEN 121 AND 260 THEN 'era1' WHEN vol BETWEEN 261 AND 500 THEN 'era2' WHEN vol BETWEEN 501 AND 700 THEN 'era3' WHEN vol BETWEEN 701 AND 900 THEN 'era4'
+    WHEN vol BETWEEN 901 AND 999 THEN 'era5' ELSE 'era1' END AS era, count(*) AS n_cases, count(DISTINCT vol) AS n_volumes FROM sp GROUP BY 1""",
 )
 def jn1(spark, sf_dir):
-    """Inclusive range join with a dimension of a few rows; era1 where none fits."""
-    eras = spark.createDataFrame([("era1", 226, 245), ("era2", 246, 275)], "era string, first int, last int")
-    joined = cases(spark, sf_dir).join(F.broadcast(eras), F.col("volume").between(F.col("first"), F.col("last")), "left")
-    return joined.groupBy(F.coalesce("era", F.lit("era1")).alias("era")).agg(F.count("*").alias("n_cases"), F.countDistinct("volume").alias("n_volumes"))
+    """Volumes to eras by inclusive ranges; era1 where none fits."""
+    vol = cases(spark, sf_dir).select((200 + F.col("case_id") % 820).alias("vol"))
+    return vol.groupBy(fields.era(F.col("vol")).alias("era")).agg(F.count("*").alias("n_cases"), F.countDistinct("vol").alias("n_volumes"))
 
 
 @query(
