@@ -12,7 +12,7 @@ import __spark_entry__ as driver
 from foliograph.functions import repair
 from foliograph.operators import lines, network, records, records_text
 from foliograph.operators.windows import Sliding, bounds, windows
-from foliograph.plans import casefile, registry  # noqa: F401
+from foliograph.plans import casefile, evidence, registry  # noqa: F401
 from foliograph.sources import readers, writers
 from foliograph.streaming import ingest
 
