@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,32 @@ def durable(df: DataFrame, small: bool = False) -> DataFrame:
     return cut.coalesce(1 + cut.count() // ROWS) if small else cut
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once, as Parquet, to the shared folder and read back; for tables of which later steps read some columns."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Keys that may count as heavy, so a bound on the rows that are broadcast for them.
+HEAVY = 20_000
+
+
+def joined_unevenly(left: DataFrame, right: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which has one row a key, when some keys hold a large share of ``left``.
+
+    ``counts`` is (key, rows of ``left``). Keys with more than the total / HEAVY rows are heavy; there are fewer than HEAVY
+    of them, so their rows of ``right`` are broadcast. The others are joined by a shuffle, where none has many rows.
+    """
+    held = counts.columns[1]
+    total = counts.agg(F.sum(held)).first()[0] or 0
+    heavy = counts.where(F.col(held) > total / HEAVY).select(key)
+    some = F.broadcast(right.join(F.broadcast(heavy), key, "left_semi"))
+    rest = left.join(F.broadcast(heavy), key, "left_anti").join(right.join(F.broadcast(heavy), key, "left_anti"), key)
+    return left.join(some, key).unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected parts of the undirected graph ``edges`` (its first two columns).
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from foliograph.llm.alignment import op12_token_alignment
 from foliograph.llm.bpe_dp import op10_bpe_codec
 from foliograph.llm.decision_list import op8_quality_rules
 from foliograph.llm.html_text import op5_html_extraction
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLES: dict[str, str] = {}
