@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.llm._common import durable, joined_unevenly, table
+from foliograph.llm._common import stored, joined_unevenly, table
 
 #: Turns whose digests are made together, ids of conversations that are joined together.
 CHUNK, SPAN = 64, 4096
@@ -67,7 +67,7 @@ def ranked(turns: DataFrame) -> DataFrame:
             columns = [batch.column(0), pa.array(np.full(len(conv), part)), pa.array(place), batch.column(3), batch.column(4)]
             yield pa.RecordBatch.from_arrays(columns, ["conv", "part", "place", "turn_digest", "size"])
 
-    placed = durable(spread.mapInArrow(run, "conv long, part long, place long, turn_digest binary, size long"))
+    placed = stored(spread.mapInArrow(run, "conv long, part long, place long, turn_digest binary, size long"))
     sizes = placed.groupBy("conv", "part").agg(F.count("*").alias("n"))
     parted = sizes.join(sizes.groupBy("conv").agg(F.count("*").alias("parts")).where("parts > 1").select("conv"), "conv", "left_semi")
     pairs = parted.select("conv", "part", "n").join(parted.select("conv", F.col("part").alias("later")), "conv").where("part < later")
@@ -81,14 +81,14 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     h is crc32 of c's decimal text, modulo 6. Turns are (conv, p, turn_digest, size) with p from 1; conversations are
     (conv, n) with n = 0 where no turn is left.
     """
-    own = durable(ranked(turns))
+    own = stored(ranked(turns))
     base, h = F.col("conv") - F.col("conv") % 100, F.crc32(F.col("conv").cast("string").cast("binary")) % (SHARED + 1)
-    sizes = durable(own.groupBy("conv").agg(F.count("*").alias("own")).withColumns({"base": base, "h": h}))
+    sizes = stored(own.groupBy("conv").agg(F.count("*").alias("own")).withColumns({"base": base, "h": h}))
     heads = own.where(F.col("pos") < SHARED).where("conv % 100 = 0").select(F.col("conv").alias("base"), "pos", "turn_digest", "size")
     lead = sizes.where("conv <> base").join(heads, "base").where("pos < h").select("conv", (F.col("pos") + 1).alias("p"), "turn_digest", "size")
     base_sizes = sizes.where("conv = base").select("base", F.col("own").alias("of_base"))
     convs = sizes.join(base_sizes, "base", "left").withColumn("taken", F.least("h", F.coalesce("of_base", F.lit(0))))
-    convs = durable(convs.select("conv", "own", "h", "taken", (F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("n")))
+    convs = stored(convs.select("conv", "own", "h", "taken", (F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("n")))
     kept = own.where((F.col("conv") % 100 == 0) | (F.col("pos") >= h))
     kept = joined_unevenly(kept, convs.select("conv", "taken", "h"), "conv", convs.select("conv", "own"))
     p = F.when(F.col("conv") % 100 == 0, F.col("pos") + 1).otherwise(F.col("pos") - F.col("h") + F.col("taken") + 1)
@@ -114,14 +114,14 @@ def chunked(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(whole, pa.binary())], [*batch.schema.names, "whole"])
 
     kind = grouped.schema["turns"].dataType.simpleString()
-    chunks = durable(grouped.mapInArrow(run, f"conv long, j long, turns {kind}, whole binary"))
+    chunks = stored(grouped.mapInArrow(run, f"conv long, j long, turns {kind}, whole binary"))
     # doubling: after round k, ``through`` is the digest of the last 2^k chunks up to j, or of all of them if they are fewer
-    through = durable(chunks.where("whole IS NOT NULL").select("conv", "j", F.col("whole").alias("through")))
+    through = stored(chunks.where("whole IS NOT NULL").select("conv", "j", F.col("whole").alias("through")))
     most, step = through.agg(F.max("j")).first()[0], 1
     while most is not None and step <= most:
         before = through.select("conv", (F.col("j") + step).alias("j"), F.col("through").alias("before"))
         both = F.unhex(F.md5(F.concat("before", "through")))
-        through = durable(through.join(before, ["conv", "j"], "left").select("conv", "j", F.when(F.col("before").isNull(), F.col("through")).otherwise(both).alias("through")))
+        through = stored(through.join(before, ["conv", "j"], "left").select("conv", "j", F.when(F.col("before").isNull(), F.col("through")).otherwise(both).alias("through")))
         step *= 2
     before = through.select("conv", (F.col("j") + 1).alias("j"), F.col("through").alias("before"))
     last_of = chunks.where("whole IS NOT NULL").select("conv", (F.col("j") + 1).alias("j"), F.col("whole").alias("whole_before"))
@@ -181,10 +181,10 @@ def rolled_up(nodes: DataFrame, values: list[str]) -> DataFrame:
     Each round keeps only the nodes that still have an ancestor so far above, and writes what they add to it.
     """
     sums = [F.sum(v).alias(v) for v in values]
-    live = durable(nodes.where("parent IS NOT NULL").select("node", F.col("parent").alias("to"), "depth", *values))
+    live = stored(nodes.where("parent IS NOT NULL").select("node", F.col("parent").alias("to"), "depth", *values))
     added, reach = [nodes.select("node", *values)], 1
     while not live.isEmpty():
-        given = durable(live.groupBy("to").agg(*sums, F.count("*").alias("givers")))
+        given = stored(live.groupBy("to").agg(*sums, F.count("*").alias("givers")))
         added.append(given.select(F.col("to").alias("node"), *values))
         # what a node got in this round it hands on in the next ones, to the ancestor twice as far away
         got = given.select(F.col("to").alias("node"), *(F.col(v).alias(f"got_{v}") for v in values))
@@ -192,7 +192,7 @@ def rolled_up(nodes: DataFrame, values: list[str]) -> DataFrame:
         up = live.select(F.col("node").alias("to"), F.col("to").alias("next"))
         far = joined_unevenly(far, up, "to", given.select("to", "givers"))
         far = far.join(got, "node", "left").select("node", F.col("next").alias("to"), "depth", *((F.col(v) + F.coalesce(f"got_{v}", F.lit(0))).alias(v) for v in values))
-        live, reach = durable(far), reach * 2
+        live, reach = stored(far), reach * 2
     total = added[0]
     for more in added[1:]:
         total = total.unionByName(more)
@@ -203,16 +203,16 @@ def trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     slim = df.select(F.col(conv).cast("long").alias("conv"), F.col(turn).alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((role, "role"), (text, "text"))))
     turns, convs = rebuilt(slim.where("conv IS NOT NULL"))
-    convs, rows = durable(convs), durable(members(turns))
+    convs, rows = stored(convs), stored(members(turns))
     root = F.lit(ROOT)
     top = convs.agg(F.min("conv").alias("conv"), F.lit(0).cast("long").alias("depth"), F.count("*").alias("n_convs"), F.lit(0).cast("long").alias("size"))
     top = top.where("n_convs > 0").select(root.alias("node"), F.lit(None).cast("binary").alias("parent"), "conv", "depth", "n_convs", "size")
     below = rows.groupBy("node").agg(F.min("parent").alias("parent"), F.min("conv").alias("conv"), F.min("depth").alias("depth"), F.count("*").alias("n_convs"), F.min("size").alias("size"))
-    nodes = durable(top.unionByName(below))
-    children = durable(nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children")))
+    nodes = stored(top.unionByName(below))
+    children = stored(nodes.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children")))
     nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
     leaf, saved = F.when(F.col("n_children") == 0, 1).otherwise(0), (F.col("n_convs") - 1) * F.col("size")
-    nodes = durable(nodes.withColumns({"n_leaves": leaf.cast("long"), "saved_tokens": saved}))
+    nodes = stored(nodes.withColumns({"n_leaves": leaf.cast("long"), "saved_tokens": saved}))
     sums = rolled_up(nodes, ["n_leaves", "saved_tokens"])
     up = nodes.select(F.col("node").alias("parent"), F.col("conv").alias("parent_conv_id"))
     parents = joined_unevenly(nodes.where("parent IS NOT NULL").select("node", "parent"), up, "parent", children.select(F.col("node").alias("parent"), "n_children")).select("node", "parent_conv_id")

@@ -10,6 +10,7 @@ from foliograph.llm.language_id import op3_language_id
 from foliograph.llm.order_minhash import op7_near_duplicates
 from foliograph.llm.packing import op2_best_fit_packing
 from foliograph.llm.pii import op6_pii_surrogates
+from foliograph.llm.prefix_trie import op13_conversation_trie
 from foliograph.llm.rp_forest import op1_embedding_neardup
 from foliograph.llm.rule_ensemble import op9_quality_scores
 from foliograph.llm.token_count import op4_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
     "op12_token_alignment": op12_token_alignment,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {}
