@@ -14,6 +14,8 @@ from foliograph.llm.prefix_trie import op13_conversation_trie
 from foliograph.llm.rp_forest import op1_embedding_neardup
 from foliograph.llm.rule_ensemble import op9_quality_scores
 from foliograph.llm.token_count import op4_token_counts
+from foliograph.llm.url_rules import SQL as OP11_SQL
+from foliograph.llm.url_rules import op11_url_filters
 
 QUERIES = {
     "op1_embedding_neardup": op1_embedding_neardup,
@@ -26,8 +28,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_url_filters": op11_url_filters,
     "op12_token_alignment": op12_token_alignment,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_url_filters": OP11_SQL}
