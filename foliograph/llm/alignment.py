@@ -4,8 +4,8 @@ The tokens of one side (B) are intervals that lie end to end: their sorted ends
 other side (A) stabs it twice by bisection and so gets the list of B tokens that it overlaps. A gap between two A tokens
 that no B token spans is a border of groups; there the last token of each side end together and are linked.
 
-Texts are cut at each space after a character that isn't white space: neither vocabulary has a token across such a
-place (``Sides`` refuses one that has). Different pieces are encoded and aligned in batches, laid end to end on one axis;
+Texts are cut before each space or newline after a character that isn't white space: neither vocabulary has a token across
+such a place (``Sides`` refuses one that has). Different pieces are encoded and aligned in batches, laid end to end on one axis;
 a worker remembers pieces (bounded, ``REMEMBERED``), which only saves time. A text in which some piece's tokens don't give
 back its bytes is encoded whole, and has no tokens if they differ then too.
 
@@ -23,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +34,10 @@ from foliograph.llm._common import joined_unevenly, stored, table
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pieces that a worker keeps before it starts anew, and the longest one that it keeps.
 REMEMBERED, LONGEST = 300_000, 48
-#: Bytes of new pieces that are encoded at once, about.
-BATCH_BYTES = 1 << 20
+#: Characters of new pieces that are encoded at once, and of texts that are aligned at once, about.
+BATCH_BYTES, SLICE = 1 << 19, 1 << 21
 #: A place where both tokenizers end a token.
-BREAK = re.compile(r"(?<=\S) ")
+BREAK = re.compile(r"(?<=\S)(?=[ \n])")
 #: U+2581 is the second tokenizer's space; a text that holds it never gives its bytes back.
 BLOCK = "▁"
 
@@ -71,7 +72,7 @@ class Sides:
         for s, i in self.a.get_vocab().items():
             self.bytes_a[i] = bytes(byte_of[x] for x in s) if all(x in byte_of for x in s) else s.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any(re.search(f"[^{BLOCK}]{BLOCK}", p) for p in pieces):
+        if any(re.search(f"[^{BLOCK}]{BLOCK}|\n", p) for p in pieces):
             raise ValueError(f"{b}: a token reaches across a space, so texts can't be cut there")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLOCK, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in side]) for side in (self.bytes_a, self.bytes_b))
@@ -79,83 +80,76 @@ class Sides:
         #: piece -> (tokens of A, tokens of B, groups as text, linked pairs); None if the bytes differ
         self.met: dict[str, tuple[int, int, str, tuple[int, ...]] | None] = {}
 
-    def encoded(self, pieces: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of both sides of " " + piece; None where the tokens don't give its bytes back."""
-        got = []
-        left = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        for p, x, y in zip(pieces, left, self.b.encode(pieces, num_threads=1)):
-            whole, y = (" " + p).encode(), y if p else [self.space]
-            x = x.ids
-            same = b"".join(map(self.bytes_a.__getitem__, x)) == whole == b"".join(map(self.bytes_b.__getitem__, y))
-            got.append((x, y) if same else None)
-        return got
+    def encoded(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of both sides of each piece, and whether they give its bytes back; none where they don't."""
+        import numpy as np
+
+        left = [x.ids for x in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        # the second tokenizer puts a space before what it gets: the piece's own, or one that is dropped again
+        right = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        right = [[self.space] if p == " " else y if p[0] == " " else y[1:] if y[0] == self.space else [] for p, y in zip(pieces, right)]
+        whole = [p.encode() for p in pieces]
+        good = [True] * len(pieces)
+        for side, parts in ((left, self.bytes_a), (right, self.bytes_b)):
+            flat = list(chain.from_iterable(side))
+            ends = np.cumsum([0, *map(len, side)])
+            sizes = np.append(0, np.cumsum([len(parts[i]) for i in flat]))[ends]
+            if b"".join(map(parts.__getitem__, flat)) != b"".join(whole) or not np.array_equal(np.diff(sizes), list(map(len, whole))):
+                good = [g and w == b"".join(map(parts.__getitem__, x)) for g, w, x in zip(good, whole, side)]
+        if not all(good):
+            left, right = ([x if ok else [] for x, ok in zip(side, good)] for side in (left, right))
+        return left, right, good
 
     def align(self, pieces: list[str]) -> list[tuple[int, int, str, tuple[int, ...]] | None]:
         """Groups and links of each piece, found on one axis of bytes on which all of them lie end to end."""
         import numpy as np
 
-        both = self.encoded(pieces)
-        kept = [x for x in both if x]
-        a, b = (np.array([i for x in kept for i in x[side]], "int64") for side in (0, 1))
+        left, right, good = self.encoded(pieces)
+        a, b = (np.array(list(chain.from_iterable(side)), "int64") for side in (left, right))
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         first, last = overlaps(ends_a - self.size_a[a], ends_a, ends_b - self.size_b[b], ends_b)
         # a gap that no token of B spans: the next token's list begins after this one's ends
         cut = np.flatnonzero(np.append(last[:-1] < first[1:], True)) if len(a) else np.array([], "int64")
         pair = ((a[cut] << 32) | b[last[cut]]).tolist()
-        stop_a, stop_b = (cut + 1).tolist(), (last[cut] + 1).tolist()
+        upto = np.searchsorted(cut, np.cumsum([0, *map(len, left)]) - 1, "right").tolist()  # groups before each piece
+        stop_a, stop_b = [0, *(cut + 1).tolist()], [0, *(last[cut] + 1).tolist()]
         ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        out: list[tuple[int, int, str, tuple[int, ...]] | None] = []
-        at = from_a = from_b = 0
-        for x in both:
-            if x is None:
-                out.append(None)
-                continue
-            begin, end_a, groups = at, from_a + len(x[0]), []
-            while from_a < end_a:
-                groups.append(f"{','.join(ids_a[from_a : stop_a[at]])}|{','.join(ids_b[from_b : stop_b[at]])}")
-                from_a, from_b, at = stop_a[at], stop_b[at], at + 1
-            out.append((len(x[0]), len(x[1]), ";".join(groups), tuple(pair[begin:at])))
-        return out
-
-    def learn(self, texts: list[list[str]]) -> dict[str, tuple | None]:
-        """Alignments of all pieces of some texts."""
-        if len(self.met) > REMEMBERED:
-            self.met.clear()
+        one = np.append(True, np.diff(cut) == 1) & np.append(True, np.diff(last[cut]) == 1) if len(cut) else []
+        groups = [f"{ids_a[i]}|{ids_b[j]}" if single else "" for i, j, single in zip(stop_a, stop_b, list(one))]
+        for k in np.flatnonzero(~np.array(one, bool)).tolist() + ([0] if groups else []):
+            groups[k] = f"{','.join(ids_a[stop_a[k] : stop_a[k + 1]])}|{','.join(ids_b[stop_b[k] : stop_b[k + 1]])}"
+        return [(len(x), len(y), ";".join(groups[i:j]), tuple(pair[i:j])) if ok else None for x, y, ok, i, j in zip(left, right, good, upto, upto[1:])]
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Put the alignments of all pieces of some texts into ``met``."""
         new = list(set().union(*texts) - self.met.keys())
-        own: dict[str, tuple | None] = {}
-        batch, size = [], 0
-        for k, p in enumerate(new):
-            batch.append(p)
-            size += len(p) + 4
-            if size >= BATCH_BYTES or k == len(new) - 1:
-                for q, x in zip(batch, self.align(batch)):
-                    (self.met if len(q) <= LONGEST else own)[q] = x
-                batch, size = [], 0
-        return own
+        at = 0
+        while at < len(new):
+            end, size = at, 0
+            while end < len(new) and size < BATCH_BYTES:
+                size += len(new[end]) + 8
+                end += 1
+            self.met.update(zip(new[at:end], self.align(new[at:end])))
+            at = end
 
     def aligned(self, texts: list[str | None]) -> list[tuple[int, int, str, dict[int, int]]]:
         """(tokens of A, tokens of B, groups, links by pair) of each whole text."""
-        cut = [BREAK.split(t) if t and BLOCK not in t else [] for t in texts]
-        own = self.learn(cut)
-        of = lambda p: own[p] if p in own else self.met[p]
+        cut = [BREAK.split(" " + t) if t and BLOCK not in t else [] for t in texts]
+        self.learn(cut)
         out = []
         for text, pieces in zip(texts, cut):
-            parts = {p: of(p) for p in set(pieces)}
-            if None in parts.values():
-                pieces = [text]
-                parts = {text: self.align([text])[0]}
-            if not pieces or None in parts.values():
+            parts = [self.met[p] for p in pieces]
+            if None in parts:
+                parts = self.align([" " + text])
+            if not parts or parts[0] is None:
                 out.append((0, 0, "", {}))
                 continue
-            n_a = n_b = 0
-            links: dict[int, int] = {}
-            for p, n in Counter(pieces).items():
-                x = parts[p]
-                n_a += n * x[0]
-                n_b += n * x[1]
-                for pair in x[3]:
-                    links[pair] = links.get(pair, 0) + n
-            out.append((n_a, n_b, ";".join([parts[p][2] for p in pieces]), links))
+            out.append((sum([x[0] for x in parts]), sum([x[1] for x in parts]), ";".join([x[2] for x in parts]), Counter(chain.from_iterable([x[3] for x in parts]))))
+        if len(self.met) > REMEMBERED:
+            self.met.clear()
+        elif long := [p for p in set().union(*cut) if len(p) > LONGEST]:
+            for p in long:
+                del self.met[p]
         return out
 
 
@@ -175,21 +169,30 @@ def align(df: DataFrame, key: str = "doc_id", text: str = "text", a: str = SIDE_
     kind = slim.schema["key_"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gc
+
         import numpy as np
         from pyspark import TaskContext
 
+        gc.disable()  # millions of small tuples without a cycle: looking for cycles takes a sixth of the time
         at, own = TaskContext.get().partitionId() << 33, sides(a, b)
         link = pa.struct([("pair", pa.int64()), ("n", pa.int64())])
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for k in range(0, len(texts), 500):
-                got = own.aligned(texts[k : k + 500])
+            k = 0
+            while k < len(texts):
+                some, size = [], 0
+                while k + len(some) < len(texts) and size < SLICE:
+                    some.append(texts[k + len(some)])
+                    size += len(some[-1] or "")
+                got = own.aligned(some)
                 offsets = pa.array(np.cumsum([0] + [len(x[3]) for x in got]), pa.int32())
                 flat = pa.StructArray.from_arrays([pa.array([p for x in got for p in x[3]], pa.int64()), pa.array([n for x in got for n in x[3].values()], pa.int64())], fields=list(link))
-                columns = [pa.array(range(at, at + len(got)), pa.int64()), batch.column(0).slice(k, 500)]
+                columns = [pa.array(range(at, at + len(got)), pa.int64()), batch.column(0).slice(k, len(some))]
                 columns += [pa.array([x[i] for x in got], t) for i, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.string()))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat)], ["row", "key_", "n_a", "n_b", "groups", "links"])
-                at += len(got)
+                at, k = at + len(got), k + len(some)
+        gc.enable()
 
     return slim.mapInArrow(run, f"row long, key_ {kind}, n_a long, n_b long, groups string, links array<struct<pair: long, n: long>>").withColumnRenamed("key_", key)
 
