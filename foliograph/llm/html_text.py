@@ -356,7 +356,7 @@ BLOCKS = [
 #: More labelled blocks, by rule: main text stays main text whatever its neighbours' words and link density; a block of
 #: links is main text inside an article only; what a name merely hints at goes by its words and links.
 for _before in ((0, 0.0), (2, 0.0), (2, 1.0), (20, 0.0), (20, 1.0)):
-    for _after in ((0, 0.0), (2, 0.0), (2, 1.0), (9, 0.0), (9, 1.0), (40, 0.0)):
+    for _after in ((0, 0.0), (2, 0.0), (2, 1.0), (6, 0.2), (9, 0.0), (9, 0.3), (9, 1.0), (40, 0.0)):
         _around = (*_before, *_after)
         for _n in (1, 4, 12, 40, 150):
             BLOCKS += [(_n, 0.0, *_around, 0, 1, _h, 1, 1) for _h in (0, 1)]  # in an article
@@ -370,7 +370,7 @@ for _before in ((0, 0.0), (2, 0.0), (2, 1.0), (20, 0.0), (20, 1.0)):
                 BLOCKS += [(_n, 0.0, *_around, 0.5, 0, 0, 0, 1), (_n, 0.8, *_around, 0.5, 0, 0, 0, 0)]
             elif _before[1] == _after[1] == 1.0:
                 BLOCKS += [(_n, 0.0, *_around, 0, 0, 0, 0, 0), (_n, 0.0, *_around, 0.5, 0, 0, 0, 0)]
-            elif _before[1] == 0.0:
+            elif _before[1] == 0.0 or 0 < _after[1] < 0.5:
                 BLOCKS += [(_n, 0.0, *_around, 0, 0, 0, 0, 1)]
 
 
