@@ -2,10 +2,13 @@
 
 Each entity found gets a keyed replacement that keeps its kind and format: digits stay digits, letters keep their
 case and script, separators stay where they are, numbers with a check digit keep it valid or invalid, first names
-keep their gender, initials stay initials. The replacement is a keyed permutation of all values of that format, so the same value is replaced
+keep their gender, initials stay initials, country codes stay. The replacement is a keyed permutation of all values of that format, so the same value is replaced
 alike everywhere (coreference) and different values differently. Names are replaced word by word, and a surname that a
 document holds in a name is replaced wherever else it stands in that document, so a surname alone follows the full name.
-Names without a title are found by the first names of ``FIRST`` only. IPv6 addresses of under four digits (loopback and
+What follows a first name is a surname only if the document doesn't speak against it: it isn't a word of ``PLAIN``, isn't
+written small in the document, doesn't stand after an article there. Otherwise it stays, wherever it stands; after a title
+it is replaced there alone. Names without a title are found by the first names of ``FIRST`` only. A run of digits is a
+card number only if its check digit is right. IPv6 addresses of under four digits (loopback and
 the like) are nobody's and stay.
 
 Collision checks run over the corpus's different values: a surrogate that is itself a value of the corpus, or that two
@@ -54,7 +57,21 @@ TITLES = r"Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|S
 UPPER, LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
 #: Smith, McDonald, O'Brien, Smith-Jones.
 _PART = rf"(?:[{UPPER}]['’])?(?:[{UPPER}][{LOWER}]+)+"
-SURNAME = rf"{_PART}(?:-{_PART})?"
+#: Le Guin, van der Berg, de la Cruz; small ones that also mean "from" are no part of a name.
+PARTICLE = r"(?:(?:[Vv]an|[Vv]on|Le|La|De|Du|Des|Di|Da|Del|Della|El|Al|Bin|Ibn|Ter|Ten|bin|ibn|dos|das|del|ter|ten)|(?:[Vv]an|[Vv]on)\ de[nr]|[Dd]e\ l(?:a|os|as))"
+SURNAME = rf"(?:{PARTICLE}\ )?{_PART}(?:-{_PART})?"
+PARTICLES = set("van von le la de du des di da del della el al bin ibn ter ten dos das den der los las".split())
+#: Words after which no surname stands, and words that may begin a sentence or clause after a first name.
+ARTICLES = set("the a an der die das den dem des ein eine einen einem einer eines le la les un une des el los las unos unas lo il i gli".split())
+PLAIN = ARTICLES | set(
+    "and or but if when while as after before because so then there here this that these those he she it we you they his her its our their who which what where how why not no yes is was are were has had have will would can could may "
+    "today yesterday tomorrow now later soon however meanwhile also only even still in on at by for from with to of "
+    "und oder aber wenn als nachdem bevor weil so dann dort hier dieser diese dieses jener er sie es wir ihr ihre sein seine wer was wo wie warum nicht kein keine ja nein ist war sind waren hat hatte wird kann heute gestern morgen jetzt später bald doch auch nur noch im in am an bei für von mit zu aus nach über "
+    "et ou mais si quand lorsque comme après avant parce alors ici ce cette ces il elle nous vous ils elles son sa ses qui que quoi où comment pourquoi pas non oui est était sont aujourd hier demain maintenant puis aussi dans sur par pour avec chez "
+    "y o pero cuando mientras como después antes porque entonces aquí este esta estos él ella nosotros ellos su sus quien que donde cómo no sí es era son hoy ayer mañana ahora luego también en por para con desde".split()
+)
+#: Country codes of one and two digits; all others have three.
+SHORT_CODES = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 INITIAL = rf"(?:[{UPPER}]\.|[B-HJ-Z])"
 GIVEN = "|".join(sorted((n for names in FIRST.values() for n in names), key=len, reverse=True))
 
@@ -135,7 +152,10 @@ def normal(kind: str, found: str) -> str:
     if kind in ("card", "ssn"):
         return re.sub(r"\D", "", found)
     if kind == "phone":
-        return re.sub(r"\D", "", found)[-10:]
+        digits = re.sub(r"\D", "", found)
+        code = next((digits[:k] for k in (1, 2) if digits[:k] in SHORT_CODES), digits[:3]) if found[0] == "+" else ""
+        # numbers of the North American plan are the same with and without their code
+        return f"+{code} {digits[len(code):]}" if code not in ("", "1") else digits[-10:]
     if kind == "email":
         return found.lower()
     if kind == "ipv6":
@@ -169,6 +189,9 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
         head, check = value[:-1], int(value[-1])
         got = value[0] + alike(head[1:], tweak + value[0], key)
         return got + str((luhn(got) + check - luhn(head)) % 10)
+    if kind == "phone" and value[0] == "+":
+        code, _, rest = value.partition(" ")
+        return f"{code} {rest[:1]}{alike(rest[1:], tweak + code + rest[:1], key)}"
     if kind == "phone":
         got = value
         while True:
@@ -189,8 +212,8 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "secret":
         return alike(value, tweak, key, all(c in HEX for c in value))
     if kind == "given_initial":
-        letters = INITIALS[script(value)]
-        return letters[permute(letters.find(value) if value in letters else ord(value) % len(letters), len(letters), tweak, key)]
+        letters = next(x for x in INITIALS if value in x)
+        return letters[permute(letters.index(value), len(letters), tweak + letters[0], key)]
     if kind.startswith("given"):
         names = FIRST[script(value), kind[-1]]
         return names[permute(names.index(value), len(names), tweak, key)]
@@ -213,7 +236,8 @@ def _spell(n: int, size: int) -> list[str]:
     return out[::-1]
 
 
-INITIALS = {"latin": LARGE, "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
+#: Every letter that can be an initial is in one of these.
+INITIALS = [LARGE, "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7), "".join(chr(c) for c in range(0x410, 0x430)) + "Ё"]
 GENDER = {n: g for (_, g), names in FIRST.items() for n in names}
 
 
@@ -222,14 +246,17 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     if not HINT.search(text):
         return
     found = list(_matched(text))
-    surnames = {value for _, _, kind, value in found if kind == "surname"}
+    surnames = {value for _, _, kind, value in found if kind in ("surname", "titled")}
     if not surnames:
         yield from found
         return
-    bare = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(surnames, key=len, reverse=True)))})(?!\w)")
+    surnames -= _refuted(text, surnames, {start for start, _, kind, _ in found if kind in ("surname", "titled")})
+    # a word that is no surname stays, but for where a title says that it is one
+    found = [(s, e, "surname" if kind == "titled" else kind, value) for s, e, kind, value in found if kind != "surname" or value in surnames]
+    bare = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(surnames, key=len, reverse=True)))})(?!\w)") if surnames else None
     at = 0
     for one in [*found, (len(text), len(text), "", "")]:
-        for m in bare.finditer(text, at, one[0]):  # a boundary is looked for in the text as a whole
+        for m in bare.finditer(text, at, one[0]) if bare else ():  # a boundary is looked for in the text as a whole
             if m.end() < one[0] or not text[m.end() : m.end() + 1].isalnum():
                 yield m.start(), m.end(), "surname", m[0]
         if one[2]:
@@ -237,6 +264,20 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
         at = one[1]
 
 
+def _refuted(text: str, words: set[str], named: set[int]) -> set[str]:
+    """Those of ``words`` that the text uses as common words; ``named`` are the places where they stand in a name."""
+    small = {w.lower(): w for w in words}
+    out, before = {w for w in words if w.lower() in PLAIN}, ""
+    for m in re.finditer(r"\w+", text):
+        word = m[0]
+        if word in small:
+            out.add(small[word])
+        elif before in ARTICLES and word in words and m.start() not in named:
+            out.add(word)
+        before = word.lower()
+    return out
+
+
 def _matched(text: str) -> Iterator[tuple[int, int, str, str]]:
     """What ``ENTITY`` finds and its checks leave."""
     for m in ENTITY.finditer(text):
@@ -245,7 +286,12 @@ def _matched(text: str) -> Iterator[tuple[int, int, str, str]]:
         if kind in ("titled", "name"):
             for w in re.finditer(r"[^\s.-]+", m[kind]):
                 word = w[0]
-                yield start + w.start(), start + w.end(), f"given_{GENDER[word]}" if word in GENDER else "given_initial" if len(word) == 1 else "surname", word
+                if word.lower() not in PARTICLES:
+                    yield start + w.start(), start + w.end(), f"given_{GENDER[word]}" if word in GENDER else "given_initial" if len(word) == 1 else "titled" if kind == "titled" else "surname", word
+        elif kind == "card":
+            value = normal(kind, m[kind])
+            if luhn(value[:-1]) == int(value[-1]):
+                yield start, end, kind, value
         elif kind == "iban":
             value = normal(kind, m[kind])
             if 15 <= len(value) <= 34 and value[2:4] == _iban_check(value[4:] + value[:2]):
@@ -264,6 +310,7 @@ def _matched(text: str) -> Iterator[tuple[int, int, str, str]]:
 def dressed(kind: str, found: str, new: str) -> str:
     """The new value in the spelling of the one found: its separators and capitals."""
     if kind in ("card", "ssn", "phone", "iban"):
+        new = new.partition(" ")[2] if new[0] == "+" else new  # the country code stays
         at = len(new)
         out = list(found)
         for k in range(len(found) - 1, -1, -1):
