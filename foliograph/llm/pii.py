@@ -155,7 +155,7 @@ def normal(kind: str, found: str) -> str:
         digits = re.sub(r"\D", "", found)
         code = next((digits[:k] for k in (1, 2) if digits[:k] in SHORT_CODES), digits[:3]) if found[0] == "+" else ""
         # numbers of the North American plan are the same with and without their code
-        return f"+{code} {digits[len(code):]}" if code not in ("", "1") else digits[-10:]
+        return f"+{code} {digits[len(code):]}" if code and (code != "1" or len(digits) != 11) else digits[-10:]
     if kind == "email":
         return found.lower()
     if kind == "ipv6":

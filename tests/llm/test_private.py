@@ -59,10 +59,10 @@ def test_cards_have_a_check_digit():
 
 
 def test_ordinary_text_stays():
-    words = "Der Fluss ist lang und das Haus am Fluss ist alt . Die Frau Holle la ville est belle et Marie va là Le chat dort Lundi Montag Monday The river May be long".split()
+    words = "Der Fluss ist lang und das Haus am Fluss ist alt . Die Stadt la ville est belle va là Le chat dort Lundi Montag Monday The river May be long Luna y el Río 12 1999 3.14".split()
     draw = random.Random(5)
     for _ in range(300):
         text = " ".join(draw.choice(words) for _ in range(40))
-        kept = re.sub(r"\bFrau (\w+)", "", text)
-        after = new(text)
-        assert re.sub(r"\bFrau (\w+)", "", after).split() == kept.split() or "Frau Holle" in text or re.search(r"Frau [A-Z]", text)
+        assert new(text) == text
+    text = "Peter sagt: Der Fluss ist lang. Maria sieht den Fluss. Sophie voit la Ville et Julia va là."
+    assert [w for w in new(text).split() if w not in text.split()] == [w for w in new(text).split() if w in pii.GENDER and w not in text.split()]
