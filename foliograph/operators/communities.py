@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from foliograph.operators.steps import tabled
 
-#: Rises of modularity below this one don't count.
-LEAST = 1e-7
+#: Rises of modularity below the first don't count; rounds go on while some graph rises by more than the second.
+LEAST, WORTH = 1e-7, 1e-3
 #: Shares of the nodes that move in a round: the next smaller one is tried where the last brought nothing.
-SHARES = (2, 2, 4, 8)
+SHARES = (2, 3, 6)
 
 
 def _near(links: DataFrame, state: DataFrame) -> DataFrame:
@@ -52,29 +52,32 @@ def _moved(near: DataFrame, state: DataFrame, whole: DataFrame, share: int, turn
     return state.join(moves, ["k", "u"], "left").select("k", "u", F.coalesce("to", "c").alias("c"), "degree")
 
 
-def _settled(links: DataFrame, whole: DataFrame) -> DataFrame:
-    """(k, u, c) after rounds of moves from single nodes."""
-    state = tabled(links.groupBy("k", "u").agg(F.sum("w").alias("degree")).select("k", "u", F.col("u").alias("c"), "degree"))
+def _settled(links: DataFrame, whole: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """(k, u, c) after rounds of moves from single nodes, or from the communities (k, u, c) of ``start``."""
+    degrees = links.groupBy("k", "u").agg(F.sum("w").alias("degree"))
+    state = tabled((degrees.withColumn("c", F.col("u")) if start is None else degrees.join(start, ["k", "u"])).select("k", "u", "c", "degree"))
     loops = links.where("u = v")
     near = tabled(_near(links, state))
     best = tabled(_modularity(near, state, loops, whole))
     most = state.groupBy("k").count().agg(F.max("count")).first()[0] or 0
     tried = 0
-    for turn in range(8 + 2 * math.ceil(math.log2(most + 2))):
+    for turn in range(4 + math.ceil(math.log2(most + 2))):
         new = tabled(_moved(near, state, whole, SHARES[tried], turn))
         new_near = tabled(_near(links, new))
-        new_q = tabled(_modularity(new_near, new, loops, whole))
-        risen = tabled(new_q.join(best.withColumnRenamed("q", "before"), "k").where(F.col("q") > F.col("before") + LEAST).select("k", "q"))
-        if risen.isEmpty():
+        rises = F.col("q") > F.col("before") + LEAST
+        now = _modularity(new_near, new, loops, whole).join(best.withColumnRenamed("q", "before").select("k", "before"), "k")
+        best = tabled(now.select("k", F.when(rises, F.col("q")).otherwise(F.col("before")).alias("q"), rises.alias("risen"), (F.col("q") - F.col("before")).alias("rise")))
+        risen, graphs, rise = best.agg(F.count_if("risen"), F.count("*"), F.max("rise")).first()
+        if (rise or 0) <= WORTH:
             tried += 1
-            if tried == len(SHARES):
-                break
-            continue
-        tried = max(0, tried - 1)
-        keys = risen.select("k")
-        state = tabled(new.join(keys, "k", "left_semi").unionByName(state.join(keys, "k", "left_anti")))
-        near = tabled(new_near.join(keys, "k", "left_semi").unionByName(near.join(keys, "k", "left_anti")))
-        best = tabled(risen.unionByName(best.join(keys, "k", "left_anti")))
+        if not risen:
+            pass
+        elif risen == graphs:
+            state, near = new, new_near
+        else:
+            state, near = (tabled(x.join(best.where("risen").select("k"), "k", "left_semi").unionByName(y.join(best.where("risen").select("k"), "k", "left_anti"))) for x, y in ((new, state), (new_near, near)))
+        if tried == len(SHARES):
+            break
     return state.select("k", "u", "c")
 
 
@@ -88,16 +91,19 @@ def communities(links: DataFrame) -> DataFrame:
     both = some.where("u <> v").unionByName(some.where("u <> v").select("k", F.col("v").alias("u"), F.col("u").alias("v"), "w"))
     both = tabled(both.unionByName(some.where("u = v").withColumn("w", 2 * F.col("w"))).groupBy("k", "u", "v").agg(F.sum("w").alias("w")))
     whole = tabled(both.groupBy("k").agg(F.sum("w").alias("total")))
-    found, now, nodes = None, both, None
-    while True:
-        step = tabled(_settled(now, whole))
-        n, parts = step.select("k", "u").distinct().count(), step.select("k", "c").distinct().count()
-        found = step if found is None else tabled(found.withColumnRenamed("c", "mid").join(step.select("k", F.col("u").alias("mid"), "c"), ["k", "mid"]).select("k", "u", "c"))
-        if parts == n or parts == nodes:
-            break
-        nodes = parts
-        left, right = step.select("k", "u", F.col("c").alias("cu")), step.select("k", F.col("u").alias("v"), F.col("c").alias("cv"))
-        now = tabled(now.join(left, ["k", "u"]).join(right, ["k", "v"]).groupBy("k", F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")))
+    found = None
+    for _ in range(2):  # single nodes move once more after communities have merged
+        now, nodes, step = both, None, tabled(_settled(both, whole, found))
+        found = step
+        while True:
+            n, parts = step.agg(F.count("*"), F.countDistinct("k", "c")).first()
+            if parts in (n, nodes):
+                break
+            nodes = parts
+            left, right = step.select("k", "u", F.col("c").alias("cu")), step.select("k", F.col("u").alias("v"), F.col("c").alias("cv"))
+            now = tabled(now.join(left, ["k", "u"]).join(right, ["k", "v"]).groupBy("k", F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")))
+            step = tabled(_settled(now, whole))
+            found = tabled(found.withColumnRenamed("c", "mid").join(step.select("k", F.col("u").alias("mid"), "c"), ["k", "mid"]).select("k", "u", "c"))
     smallest = found.groupBy("k", "c").agg(F.min("u").alias("community"))
     return found.join(smallest, ["k", "c"]).select("k", F.col("u").alias("node"), "community")
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliograph.operators.steps import written
-
 
 def joint_pairs(participation: DataFrame, role: str, least: int = 1) -> DataFrame:
     """(case_id, a, b) with a < b for each pair of elements with ``role`` in a case of ``least`` such elements.
@@ -54,57 +52,3 @@ def window_edges(participation: DataFrame, assign) -> DataFrame:
 
     days = pairs("majority", 1).union(pairs("dissent", 2)).groupBy("date", "source", "target").agg(F.count("*").alias("n"))
     return assign(days).groupBy("k", "source", "target").agg(F.sum("n").alias("weight"))
-
-
-def communities(links: DataFrame) -> DataFrame:
-    """(node, community): labels moved until no node has more weight with another community than with its own.
-
-    Stands in for modularity optimisation, whose visits are sequential. Every node starts alone. In a round each node
-    finds the label that weighs most among its neighbours (the smallest on ties); of neighbours that would gain, only
-    the one that gains most moves. So the weight inside communities grows with every round, and this ends. A round is
-    joins and grouped sums, so it scales with the edges.
-    """
-    near = written(adjacency(links).where("row <> column"))
-    now = written(near.select(F.col("row").alias("node")).distinct().withColumn("community", F.col("node")))
-    while True:
-        weights = near.join(now, near["column"] == now["node"]).groupBy("row", "community").agg(F.sum("weight").alias("w"))
-        best = weights.groupBy(F.col("row").alias("node")).agg(F.min_by(F.struct("community", "w"), F.struct((-F.col("w")).alias("w"), "community")).alias("best"))
-        own = now.join(weights.select(F.col("row").alias("node"), "community", F.col("w").alias("own")), ["node", "community"], "left")
-        gains = own.join(best, "node").select("node", F.col("best.community").alias("to"), (F.col("best.w") - F.coalesce("own", F.lit(0))).alias("gain")).where("gain > 0")
-        gains = written(gains)
-        if gains.isEmpty():
-            return now
-        ahead = near.join(gains.select(F.col("node").alias("column"), F.col("gain").alias("theirs")), "column").groupBy(F.col("row").alias("node")).agg(F.max(F.struct("theirs", (-F.col("column")).alias("c"))).alias("top"))
-        moves = gains.join(ahead, "node", "left").where("top IS NULL OR gain > top.theirs OR (gain = top.theirs AND -node > top.c)").select("node", "to")
-        now = written(now.join(moves, "node", "left").select("node", F.coalesce("to", "community").alias("community")))
-
-
-def tracked(memberships: DataFrame) -> DataFrame:
-    """(k, community, track): communities of consecutive windows that have most in common share a track.
-
-    ``memberships`` has k, community, member. Overlaps are joined and counted by Spark; what goes to the driver is a
-    row per pair of communities of neighbouring windows, whose number windows and communities bound, not members.
-    Greedy: the pairs with the highest Jaccard first; communities without a partner get the next number.
-    """
-    sizes = memberships.groupBy("k", "community").agg(F.count("*").alias("n"))
-    before = memberships.select((F.col("k") + 1).alias("k"), "member", F.col("community").alias("old"))
-    both = memberships.join(before, ["k", "member"]).groupBy("k", "community", "old").agg(F.count("*").alias("both"))
-    both = both.join(sizes, ["k", "community"]).join(sizes.select((F.col("k") + 1).alias("k"), F.col("community").alias("old"), F.col("n").alias("m")), ["k", "old"])
-    pairs = both.select("k", "community", "old", (F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("j")).collect()
-    by_window: dict[int, list] = {}
-    for r in pairs:
-        by_window.setdefault(r["k"], []).append(r)
-    out, track, fresh, last = [], {}, 0, None
-    for k, names in sorted((r["k"], sorted(r["cs"])) for r in sizes.groupBy("k").agg(F.collect_list("community").alias("cs")).collect()):
-        track = track if last is not None and k == last + 1 else {}
-        got: dict = {}
-        for r in sorted(by_window.get(k, []), key=lambda r: (-r["j"], -names.index(r["community"]), -track.get(r["old"], -1))):
-            if r["old"] in track and r["community"] not in got and track[r["old"]] not in got.values():
-                got[r["community"]] = track[r["old"]]
-        for c in names:
-            if c not in got:
-                got[c], fresh = fresh, fresh + 1
-        out += [(k, c, t) for c, t in sorted(got.items())]
-        track, last = got, k
-    kind = memberships.schema["community"].dataType.simpleString()
-    return memberships.sparkSession.createDataFrame(out, f"k int, community {kind}, track int")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliograph.operators import network
+from foliograph.operators import communities, network
+from foliograph.operators.steps import tabled
 from foliograph.operators.windows import assign, bounds
-from foliograph.plans.base import PRELUDE, WINDOW, cases, votes
+from foliograph.plans.base import PRELUDE, WINDOW, cases, members, votes
 from foliograph.plans.registry import query
 
 EDGES = PRELUDE + """, ord AS (SELECT case_id, member, role, row_number() OVER (PARTITION BY case_id, role ORDER BY member) AS i, count(*) OVER (PARTITION BY case_id, role) AS n FROM votes),
@@ -72,12 +74,6 @@ def flt5(spark, sf_dir):
     return cases(spark, sf_dir).join(n, "case_id", "left").groupBy(first.otherwise("kept").alias("first_failed")).agg(F.count("*").alias("n"))
 
 
-@query("fsm13_communities")
-def fsm13(spark, sf_dir):
-    """Communities of the co-voting graph, a local optimum of weight inside them (no SQL twin: iterative; tested for that)."""
-    return network.communities(network.edges(votes(spark, sf_dir)))
-
-
 @query(
     "fsm14_window_edges",
     PRELUDE + """, ord AS (SELECT k, case_id, member, role, row_number() OVER (PARTITION BY k, case_id, role ORDER BY member) AS i, count(*) OVER (PARTITION BY k, case_id, role) AS n FROM placed)
@@ -95,8 +91,66 @@ def agg35(spark, sf_dir):
     return both.groupBy(F.col("row").alias("row_member")).agg(F.sum(F.when(F.col("column") % 3 == 0, F.col("weight"))).alias("thirds"), F.count("*").alias("filled"))
 
 
+def placed_votes(spark, sf_dir):
+    """Votes with a row per window; what snapshots are made of."""
+    return assign(votes(spark, sf_dir).select("case_id", "member", "role", "date", "bloc"), bounds(cases(spark, sf_dir)), WINDOW)
+
+
+#: (session, folder) -> the written table of ``snapshots``
+_SNAPSHOTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def snapshots(spark, sf_dir):
+    """(k, node, community, track, step): who belongs to which community of each window's graph, and to which track.
+
+    The table is written once a session and folder; all queries on communities read it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        _SNAPSHOTS[key] = tabled(communities.tracked(tabled(communities.communities(fsm14(spark, sf_dir)))))
+    return _SNAPSHOTS[key]
+
+
+@query("fsm13_communities")
+def fsm13(spark, sf_dir):
+    """Communities of each window's graph by modularity (no SQL twin: iterative; tested against a sequential optimum)."""
+    return snapshots(spark, sf_dir).select("k", "node", "community")
+
+
 @query("fsm12_tracked_communities")
 def fsm12(spark, sf_dir):
-    """Blocs of each window's dissenters, tracked from window to window (no SQL twin: greedy, in order)."""
-    placed = assign(votes(spark, sf_dir).where("role = 'dissent'").select("member", "bloc", "date"), bounds(cases(spark, sf_dir)), WINDOW)
-    return network.tracked(placed.select("k", F.col("bloc").alias("community"), "member").distinct())
+    """Communities of each window with the tracks that join them from window to window (no SQL twin: greedy, in order)."""
+    return snapshots(spark, sf_dir).groupBy("step", "k", "track", "community").agg(F.count("*").alias("n_members"))
+
+
+@query("jn23_member_communities")
+def jn23(spark, sf_dir):
+    """Per case and window the tracks of those that voted; members outside the window's graph are dropped."""
+    voted = placed_votes(spark, sf_dir).select("k", "case_id", "role", F.col("member").alias("node")).distinct()
+    return voted.join(snapshots(spark, sf_dir), ["k", "node"]).groupBy("step", "case_id", "role").agg(F.array_join(F.sort_array(F.collect_set("track")).cast("array<string>"), ", ").alias("tracks"), F.count("*").alias("n"))
+
+
+@query("win8_snapshot_stability")
+def win8_snapshots(spark, sf_dir):
+    """Stability of detected communities and what entered and exited, by step."""
+    found = snapshots(spark, sf_dir)
+    moved = communities.transitions(found).groupBy("step").pivot("change", ["entered", "exited"]).count()
+    return communities.stability(found).join(moved, "step", "left").na.fill(0, ["entered", "exited"])
+
+
+@query("fsm16_cross_community_cases")
+def fsm16_cases(spark, sf_dir):
+    """Cases of each window whose majority or dissent spans detected communities."""
+    return communities.cross_community_cases(placed_votes(spark, sf_dir).select("k", "case_id", "member", "role"), snapshots(spark, sf_dir))
+
+
+@query("agg31_cross_community_summary")
+def agg31_summary(spark, sf_dir):
+    """In how many windows, and how, each case crossed communities."""
+    return communities.cross_community_summary(fsm16_cases(spark, sf_dir))
+
+
+@query("agg34_detected_community_table")
+def agg34_detected(spark, sf_dir):
+    """Members of each detected community by appointing bloc."""
+    return communities.community_table(snapshots(spark, sf_dir), members(spark, sf_dir).select(F.col("member").alias("node"), "bloc"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from foliograph.functions import repair
-from foliograph.operators import lines, network, records, records_text
+from foliograph.operators import lines, records, records_text
 from foliograph.operators.windows import Sliding, bounds, windows
 from foliograph.plans import casefile, evidence, registry  # noqa: F401
 from foliograph.sources import readers, writers
@@ -167,25 +167,6 @@ def test_merge_prefers_earlier_llm(spark):
     assert {(r.label, r.value) for r in records.merge_keyed(previous, current, ["label", "group"]).collect()} == {("date", 10), ("parties", 2), ("votes", 3)}
 
 
-def test_communities(spark):
-    clique = [(a, b, 5) for a in range(4) for b in range(a + 1, 4)] + [(a, b, 5) for a in range(10, 14) for b in range(a + 1, 14)] + [(3, 10, 1), (20, 21, 1), (30, 31, 2), (31, 32, 1)]
-    got = {r.node: r.community for r in network.communities(spark.createDataFrame(clique, "source int, target int, weight long")).collect()}
-    assert len({got[k] for k in range(4)}) == 1 and len({got[k] for k in range(10, 14)}) == 1 and got[0] != got[13] and got[20] == got[21]
-    for node in got:  # no node weighs more with another community
-        weight = {}
-        for a, b, w in clique:
-            for x, y in ((a, b), (b, a)):
-                if x == node:
-                    weight[got[y]] = weight.get(got[y], 0) + w
-        assert max(weight.values()) == weight.get(got[node], 0)
-
-
-def test_tracks(spark):
-    rows = [(0, "a", 1), (0, "a", 2), (0, "b", 3), (0, "b", 4), (1, "x", 3), (1, "x", 4), (1, "y", 1), (1, "y", 2), (1, "z", 9), (3, "q", 1)]
-    got = {(r.k, r.community): r.track for r in network.tracked(spark.createDataFrame(rows, "k int, community string, member int")).collect()}
-    assert got == {(0, "a"): 0, (0, "b"): 1, (1, "x"): 1, (1, "y"): 0, (1, "z"): 2, (3, "q"): 3}
-
-
 def test_dimensions_and_reports(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"description": "d", "justices": ["Cruz", "Yap"]}))
     assert [r.name for r in readers.registry(spark, f"{tmp_path}/r.json").orderBy("ord").collect()] == ["Cruz", "Yap"]
