@@ -1,4 +1,4 @@
-"""Repairs at the boundaries of cases: stranded brackets, votes past an end, parties before a header.
+"""Repairs at the boundaries of cases: displaced endings, stranded brackets, votes past an end, parties before a header.
 
 ``lines`` have the volume's key, line_no, line and is_noise; boundaries have the key, start_line and end_line. A case
 looks at a fixed number of lines around its boundary, which it reaches by an equality join on line numbers.
@@ -114,3 +114,34 @@ def annotation_scores(annotations: DataFrame, found: DataFrame, key: str) -> Dat
     best = pairs.groupBy(key, "ord", "label").agg(F.min(F.when(F.col("_ord").isNotNull(), F.struct(rank.alias("rank"), "_ord"))).alias("b"))
     rank = F.col("b.rank")
     return best.select(key, "ord", "label", F.col("b._ord").alias("found_ord"), F.coalesce(rank == 0, F.lit(False)).alias("exact"), F.coalesce(rank <= 1, F.lit(False)).alias("overlap"), rank.isNotNull().alias("detected"))
+
+
+#: Lines from the next case's start in which a displaced ending is looked for.
+AHEAD = 40
+#: What lines of votes and footnotes behind an order look like.
+VOTES_BEHIND = r"(?i)\b(?:concur|dissent|on\s+(?:official\s+)?leave|(?:took|1ook|look)\s+no\s+part)\b"
+NOTES_BEHIND = r"^\s*[*\d]+\s"
+
+
+def displaced_endings(lines: DataFrame, boundaries: DataFrame, key: str) -> DataFrame:
+    """(key, start_line, end_line): a case takes in the ending that stands at the head of the next case.
+
+    In the first lines of the next case, up to its syllabus, counsel or document's type, the last order or closing counts,
+    with the votes and footnotes behind an order. The next case keeps its start, as its header stands before that.
+    """
+    following = F.lead("start_line").over(Window.partitionBy(key).orderBy("start_line"))
+    ends = F.lead("end_line").over(Window.partitionBy(key).orderBy("start_line"))
+    cases = boundaries.select(key, "start_line", "end_line", following.alias("next"), ends.alias("next_end"))
+    near = _near(lines, cases.where("next IS NOT NULL"), key, F.col("next"), F.least(F.col("next_end"), F.col("next") + AHEAD))
+    line = F.col("line")
+    stops = line.rlike(LINES["syllabus"]) | line.rlike(LINES["counsel"]) | line.rlike(LINES["doc_type"])
+    behind = line.rlike(VOTES_BEHIND) | line.rlike(NOTES_BEHIND)
+    found = near.where(~line.rlike(r"^\s*$")).select(key, "start_line", F.struct("line_no", stops.alias("stop"), line.rlike(LINES["so_ordered"]).alias("order"), line.rlike(LINES["wherefore"]).alias("closing"), behind.alias("behind")).alias("x"))
+    # as many lines as are looked at, for each case
+    listed = found.groupBy(key, "start_line").agg(F.collect_list("x").alias("xs"))
+    stop = F.array_min(F.transform(F.filter("xs", lambda x: x["stop"]), lambda x: x["line_no"]))
+    listed = listed.withColumn("xs", F.filter("xs", lambda x: stop.isNull() | (x["line_no"] < stop)))
+    order = F.array_min(F.transform(F.filter("xs", lambda x: x["order"]), lambda x: x["line_no"]))
+    taken = F.filter("xs", lambda x: x["order"] | x["closing"] | (x["behind"] & (x["line_no"] > order)))
+    moved = listed.select(key, "start_line", F.array_max(F.transform(taken, lambda x: x["line_no"])).alias("moved"))
+    return boundaries.join(moved, [key, "start_line"], "left").select(key, "start_line", F.coalesce("moved", "end_line").cast("int").alias("end_line"))

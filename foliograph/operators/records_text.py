@@ -1,4 +1,4 @@
-"""Records in running text: boundaries of cases in a volume, vote statements, fuzzy names, digit repair."""
+"""Records in running text: vote statements, fuzzy names, digit repair."""
 
 from __future__ import annotations
 
@@ -11,59 +11,6 @@ from pyspark.sql import functions as F
 
 from foliograph.functions import repair
 
-#: Lines after a division header in which a bracket must come; lines in which further brackets belong to the same case.
-BRACKET_WITHIN, MORE_WITHIN = 11, 10
-BRACKET = r"^[\[({]?\s*G\.\s?R\.\s+Nos?[.,]\s*(\S+?)[.,]\s+(.*?)[\])}]?\s*$"
-
-
-def classified(lines: DataFrame, line: str = "line") -> DataFrame:
-    """``kind`` of each line: division, bracket, blank or text; only text is dropped later, so only this is regex work."""
-    c = F.col(line)
-    division = F.upper(F.btrim(c, F.lit(" .,;:'-"))).rlike(r"^(?:EN BANC|(?:FIRST|SECOND|THIRD) DIVIS\w+N)$")
-    return lines.withColumn("kind", F.when(F.trim(c) == "", "blank").when(division, "division").when(c.rlike(BRACKET), "bracket").otherwise("text"))
-
-
-def boundaries(lines: DataFrame, volume: str = "volume") -> DataFrame:
-    """(volume, start_line, end_line, brackets) of the cases of each volume.
-
-    A header waits for a bracket; further brackets in the next lines join the case, which is settled by the first
-    line of text after that. A case that is still open at the end is dropped. A volume's lines are read in order in
-    one task: volumes are books, bounded in size, and only the kinds of lines and the brackets' text are sent.
-    """
-
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("line_no")
-        found: list[tuple[int, list[str]]] = []
-        start, waited, held = None, 0, []
-        for no, kind, text in zip(group["line_no"], group["kind"], group["bracket"]):
-            if start is None:
-                if kind == "division":
-                    start, waited, held = no, 0, []
-                continue
-            waited += 1
-            if not held:
-                if kind == "bracket":
-                    waited, held = 0, [text]
-                elif waited >= BRACKET_WITHIN:
-                    start = no if kind == "division" else None
-                    waited = 0
-            elif kind == "bracket" and waited < MORE_WITHIN:
-                held.append(text)
-            elif waited >= MORE_WITHIN and kind not in ("blank", "bracket"):
-                found.append((start, held))
-                start, waited, held = (no, 0, []) if kind == "division" else (None, 0, [])
-            elif kind == "division":
-                found.append((start, held))
-                start, waited, held = no, 0, []
-        last = int(group["line_no"].max())
-        starts = [s for s, _ in found]
-        return pd.DataFrame({volume: group[volume].iloc[0], "start_line": starts, "end_line": [*[s - 1 for s in starts[1:]], last][: len(starts)], "brackets": [b for _, b in found]})
-
-    sent = lines.select(volume, "line_no", "kind", F.when(F.col("kind") == "bracket", F.col("line")).alias("bracket"))
-    kind = lines.schema[volume].dataType.simpleString()
-    return sent.groupBy(volume).applyInPandas(scan, f"{volume} {kind}, start_line int, end_line int, brackets array<string>")
-
-
 def vote_category(verb: Column) -> Column:
     """Category of what is said about voters, by the first of ordered tests."""
     s = F.lower(verb)

@@ -150,7 +150,7 @@ def sections(lines: DataFrame, volume: str = "volume", case: str = "case_id") ->
 
     Page marks and running titles are left out first. A case without lines has no sections.
     """
-    marked = lines.select(volume, case, "line_no", F.length("line").alias("size"), (era(F.col(volume)) == "era2").alias("second"), *[c.alias(n) for n, c in flags(F.col("line")).items()])
+    marked = lines.select(volume, case, "line_no", F.length("line").alias("size"), (era(F.col(volume)) == "era2").alias("second"), *[c.alias(n) for n, c in flags(F.col("line"), era(F.col(volume))).items()])
     marked = marked.where("NOT is_page AND NOT is_volume")
 
     def read(group: pd.DataFrame) -> pd.DataFrame:
@@ -163,17 +163,3 @@ def sections(lines: DataFrame, volume: str = "volume", case: str = "case_id") ->
 
     kinds = ", ".join(f"{c} {lines.schema[c].dataType.simpleString()}" for c in (volume, case))
     return marked.groupBy(volume, case).applyInPandas(read, f"{kinds}, {SCHEMA}")
-
-
-def displaced_endings(lines: DataFrame, ends: DataFrame, volume: str = "volume", within: int = 40) -> DataFrame:
-    """(volume, case_id, end_line): cases without an order take in one that stands at the head of the next case.
-
-    ``ends`` has volume, case_id, start_line, end_line. The first order within ``within`` lines after a case's end
-    counts, unless the document's type of the next case comes before it.
-    """
-    marks = lines.select(volume, F.col("line_no").alias("at"), flags(F.col("line"))["is_so_ordered"].alias("order"), flags(F.col("line"))["is_doc_type"].alias("kind")).where("order OR kind")
-    own = ends.join(marks.where("order"), volume).where("at BETWEEN start_line AND end_line").select(volume, "case_id").distinct()
-    lacking = ends.join(own, [volume, "case_id"], "left_anti")
-    near = lacking.join(marks, volume).where(f"at > end_line AND at <= end_line + {within}").groupBy(volume, "case_id").agg(F.min(F.struct("at", "order")).alias("first"))
-    moved = near.where("first.order").select(volume, "case_id", F.col("first.at").alias("moved"))
-    return ends.join(moved, [volume, "case_id"], "left").select(volume, "case_id", F.coalesce("moved", "end_line").alias("end_line"))

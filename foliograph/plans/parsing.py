@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliograph.functions import fields
-from foliograph.operators import records, records_text, sections
+from foliograph.operators import boundaries, case_scan, records, records_text, sections
 from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
 
@@ -26,9 +26,8 @@ def volume_lines(spark, sf_dir):
 
 @query("fsm1_str11_case_boundaries", PRELUDE + "SELECT volume, case_id, d AS date, CAST((row_number() OVER (PARTITION BY volume ORDER BY case_id) - 1) * 14 + 1 AS INTEGER) AS start_line FROM cases")
 def fsm1(spark, sf_dir):
-    found = records_text.boundaries(records_text.classified(volume_lines(spark, sf_dir)))
-    b = F.element_at("brackets", 1)
-    number, when = (F.regexp_extract(b, records_text.BRACKET, k) for k in (1, 2))
+    found = case_scan.boundaries(case_scan.classified(volume_lines(spark, sf_dir)))
+    number, when = case_scan.bracket_parts(F.element_at("brackets", 1))
     return found.select("volume", number.try_cast("long").alias("case_id"), F.try_to_timestamp(when, F.lit("MMMM d, yyyy")).cast("date").alias("date"), "start_line")
 
 
@@ -193,4 +192,31 @@ def fsm2(spark, sf_dir):
     first = cases(spark, sf_dir).where("case_id % 2 = 0").groupBy("volume").agg(F.min("case_id").alias("case_id"))
     ends = first.select("volume", "case_id", F.lit(1).alias("start_line"), F.lit(10).alias("end_line"))
     marks = F.when(F.col("case_id") % 3 == 0, F.array(F.struct(F.lit(15).alias("line_no"), F.lit("SO ORDERED.").alias("line")), F.struct(F.lit(20).alias("line_no"), F.lit("DECISION").alias("line")))).otherwise(F.array(F.struct(F.lit(12).alias("line_no"), F.lit("DECISION").alias("line")), F.struct(F.lit(30).alias("line_no"), F.lit("SO ORDERED.").alias("line"))))
-    return sections.displaced_endings(first.select("volume", F.inline(marks)), ends)
+    following = ends.withColumns({"start_line": F.lit(11), "end_line": F.lit(60)})
+    lines = first.select("volume", F.inline(marks)).withColumn("is_noise", F.lit(False))
+    found = boundaries.displaced_endings(lines, ends.union(following).select("volume", "start_line", "end_line"), "volume")
+    return ends.drop("end_line").join(found, ["volume", "start_line"]).select("volume", "case_id", "end_line")
+
+
+DISPLACED = """, x AS (SELECT volume, case_id, d, case_id % 3 = 0 AND lead(case_id) OVER w IS NOT NULL AS late, lag(case_id % 3 = 0, 1, false) OVER w AS after_late FROM cases WINDOW w AS (PARTITION BY volume ORDER BY case_id)),
+n AS (SELECT *, 13 + 3 * CAST(after_late AS INTEGER) + 3 * CAST(NOT late AS INTEGER) AS n FROM x), p AS (SELECT *, sum(n) OVER (PARTITION BY volume ORDER BY case_id) AS upto FROM n)
+SELECT volume, case_id, CAST(upto - n + 1 AS INTEGER) AS start_line, CAST(upto + CASE WHEN late THEN 6 ELSE 0 END AS INTEGER) AS end_line FROM p"""
+
+
+@query("fsm2_displaced_in_volumes", PRELUDE + DISPLACED)
+def fsm2_volumes(spark, sf_dir):
+    """Volumes of many cases in which every third one but the last ends behind the next one's header: scanned, then mended."""
+    w = Window.partitionBy("volume").orderBy("case_id")
+    late = F.col("case_id") % 3 == 0
+    c = cases(spark, sf_dir).withColumns({"late": late & F.lead("case_id").over(w).isNotNull(), "after": F.lag(late, 1, False).over(w)})
+    ending = [F.lit("WHEREFORE, the petition is denied."), F.lit("SO ORDERED."), F.lit("Cruz and Yap, JJ., concur.")]
+    head = [F.lit("EN BANC"), F.lit(""), F.concat(F.lit("[G.R. No. "), F.col("case_id").cast("string"), F.lit(". "), F.date_format("date", "MMMM d, yyyy"), F.lit("]"))]
+    body = [F.lit("Doe, petitioner, vs. STATE, respondent."), F.lit("DECISION"), *[F.lit(f"Line {k} of the reasoning.") for k in range(8)]]
+    none = F.array().cast("array<string>")
+    parts = F.concat(F.array(*head), F.when(F.col("after"), F.array(*ending)).otherwise(none), F.array(*body), F.when(F.col("late"), none).otherwise(F.array(*ending)))
+    no = F.row_number().over(Window.partitionBy("volume").orderBy("case_id", "i"))
+    lines = case_scan.classified(c.select("volume", "case_id", F.posexplode(parts).alias("i", "line")).select("volume", no.alias("line_no"), "line"))
+    found = case_scan.boundaries(lines)
+    mended = boundaries.displaced_endings(lines.withColumn("is_noise", F.lit(False)), found, "volume")
+    number = case_scan.bracket_parts(F.element_at("brackets", 1))[0].cast("long")
+    return found.select("volume", "start_line", number.alias("case_id")).join(mended, ["volume", "start_line"]).select("volume", "case_id", "start_line", "end_line")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from foliograph.functions import repair
-from foliograph.operators import lines, records, records_text
+from foliograph.operators import case_scan, lines, records, records_text
 from foliograph.operators.windows import Sliding, bounds, windows
 from foliograph.plans import casefile, evidence, registry  # noqa: F401
 from foliograph.sources import readers, writers
@@ -101,7 +101,7 @@ def volume(text):
 def test_boundaries(spark):
     body = "\n".join(f"text {k}" for k in range(12))
     text = f"FIRST DIVISION\n\n[G.R. No. 1. May 2, 1990]\n[G.R. No. 2. May 2, 1990]\n{body}\nEN BANC\n" + "x\n" * 12 + f"SECOND DIVISION\n(G.R. No, 3. May 3, 1990)\n{body}\nTHIRD DIVISION\n[G.R. No. 4. May 4, 1990]"
-    got = records_text.boundaries(records_text.classified(spark.createDataFrame(volume(text), "volume string, line_no int, line string"))).orderBy("start_line").collect()
+    got = case_scan.boundaries(case_scan.classified(spark.createDataFrame(volume(text), "volume string, line_no int, line string"))).orderBy("start_line").collect()
     assert [len(r.brackets) for r in got] == [2, 1]  # a header without a bracket and a case open at the end are no cases
     assert got[0].start_line == 1 and got[0].end_line == got[1].start_line - 1
 
