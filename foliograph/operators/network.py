@@ -40,15 +40,15 @@ def adjacency(links: DataFrame) -> DataFrame:
     return links.select(F.col("source").alias("row"), F.col("target").alias("column"), "weight").union(links.select("target", "source", "weight"))
 
 
-def window_edges(participation: DataFrame, assign) -> DataFrame:
+def window_edges(participation: DataFrame, span: tuple[str, ...], unfold) -> DataFrame:
     """(k, source, target, weight): edges of each window's cases, names that a list has twice as loops.
 
-    Pairs are counted per day first and put in windows by ``assign`` then; ``participation`` has date, too.
+    ``span`` says in which windows a case is; pairs are counted by it first, and ``unfold`` makes rows by window of counts.
     """
     def pairs(role: str, least: int) -> DataFrame:
-        listed = participation.where(F.col("role") == role).groupBy("case_id", "date").agg(F.sort_array(F.collect_list("member")).alias("m")).where(F.size("m") >= least)
-        x = listed.select("date", F.posexplode("m").alias("i", "source"), "m")
-        return x.select("date", "source", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("target"))
+        listed = participation.where(F.col("role") == role).groupBy("case_id", *span).agg(F.sort_array(F.collect_list("member")).alias("m")).where(F.size("m") >= least)
+        x = listed.select(*span, F.posexplode("m").alias("i", "source"), "m")
+        return x.select(*span, "source", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("target"))
 
-    days = pairs("majority", 1).union(pairs("dissent", 2)).groupBy("date", "source", "target").agg(F.count("*").alias("n"))
-    return assign(days).groupBy("k", "source", "target").agg(F.sum("n").alias("weight"))
+    counts = pairs("majority", 1).union(pairs("dissent", 2)).groupBy(*span, "source", "target").agg(F.count("*").alias("n"))
+    return unfold(counts).groupBy("k", "source", "target").agg(F.sum("n").alias("weight"))

@@ -42,10 +42,32 @@ def windows(limits: DataFrame, spec: Sliding) -> DataFrame:
     )
 
 
-def assign(df: DataFrame, limits: DataFrame, spec: Sliding, date: str = "date") -> DataFrame:
-    """``df`` with a row per window that its date falls in; the windows' numbers come from arithmetic, without a range join."""
+#: Which windows a date falls in; dates between two edges of windows have the same ones, so counts are summed by these.
+SPAN = ("lo", "first", "last")
+
+
+def spans(df: DataFrame, limits: DataFrame, spec: Sliding, date: str = "date") -> DataFrame:
+    """``df`` with the numbers of the first and last window of each row's date, by arithmetic; without rows in none.
+
+    There are about two such pairs a window, however many dates there are.
+    """
     o = F.datediff(F.col(date), F.col("lo"))
     first = F.greatest(F.lit(0), F.floor((o - spec.width) / spec.step).cast("int") + 1)
     last = F.least(last_window(spec), F.floor(o / spec.step).cast("int"))
     # a single row of limits: its broadcast doesn't grow with the data
-    return df.crossJoin(F.broadcast(limits)).where(last >= first).withColumn("k", F.explode(F.sequence(first, last))).drop("lo", "hi")
+    return df.crossJoin(F.broadcast(limits)).withColumns({"first": first, "last": last}).where("last >= first").drop("hi")
+
+
+def unfolded(df: DataFrame) -> DataFrame:
+    """A row for each window of a row of ``spans``; meant for what is counted by ``SPAN`` already."""
+    return df.withColumn("k", F.explode(F.sequence("first", "last"))).drop("first", "last")
+
+
+def centre(spec: Sliding) -> Column:
+    """The middle of window k, from the earliest date."""
+    return F.date_add("lo", F.col("k") * spec.step + spec.width // 2)
+
+
+def assign(df: DataFrame, limits: DataFrame, spec: Sliding, date: str = "date") -> DataFrame:
+    """``df`` with a row per window that its date falls in; the windows' numbers come from arithmetic, without a range join."""
+    return unfolded(spans(df, limits, spec, date)).drop("lo")

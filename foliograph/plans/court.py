@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliograph.operators import behaviour
-from foliograph.operators.windows import assign, bounds, windows
+from foliograph.operators.windows import SPAN, assign, bounds, centre, spans, unfolded, windows
 from foliograph.plans.base import PRELUDE, WINDOW, cases, members, votes
 from foliograph.plans.registry import query
 
@@ -15,15 +15,14 @@ def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(votes(spark, sf_dir), bounds(cases(spark, sf_dir)), WINDOW)
 
 
-def centred(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows' centres for their numbers; as many rows as windows, so they are broadcast."""
-    w = windows(bounds(cases(spark, sf_dir)), WINDOW).select("k", "window_center")
-    return df.join(F.broadcast(w), "k").drop("k")
+def spanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes with the windows that they are in, not yet a row for each."""
+    return spans(votes(spark, sf_dir), bounds(cases(spark, sf_dir)), WINDOW)
 
 
-def by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions of members per day, then put in windows: what happens in a case doesn't depend on the window."""
-    return assign(behaviour.positions_by_day(votes(spark, sf_dir)), bounds(cases(spark, sf_dir)), WINDOW)
+def by_window(counts: DataFrame) -> DataFrame:
+    """Counts by span as rows by window, with its centre."""
+    return unfolded(counts).withColumn("window_center", centre(WINDOW))
 
 
 @query("win1_sliding_windows", PRELUDE + "SELECT k, window_start, window_end, window_center FROM win")
@@ -42,8 +41,7 @@ def win2(spark, sf_dir):
     round(count(*) FILTER (role = 'dissent') / count(*), 4) AS dissent_rate FROM placed GROUP BY ALL""",
 )
 def agg20(spark, sf_dir):
-    rates = behaviour.dissent_rates_by_day(votes(spark, sf_dir), lambda df: assign(df, bounds(cases(spark, sf_dir)), WINDOW))
-    return centred(rates, spark, sf_dir)
+    return behaviour.dissent_rates_by_span(spanned(spark, sf_dir), SPAN, by_window, ("window_center",))
 
 
 CO_DISSENT = """, dis AS (SELECT {by} case_id, member FROM {rows} WHERE role = 'dissent'),
@@ -87,7 +85,7 @@ j AS (SELECT part.*, up FROM part JOIN side USING (k, case_id, bloc))
     round(count(*) FILTER (maj = up) / count(*), 4) AS bloc_agreement_rate, round(count(*) FILTER (maj <> up) / count(*), 4) AS deviation_score FROM j GROUP BY ALL""",
 )
 def agg23(spark, sf_dir):
-    return centred(behaviour.bloc_deviation(by_day(spark, sf_dir)), spark, sf_dir)
+    return behaviour.bloc_deviation(by_window(behaviour.positions_by_span(spanned(spark, sf_dir), SPAN)), ("window_center",))
 
 
 @query(
@@ -96,7 +94,7 @@ def agg23(spark, sf_dir):
     round(count(*) FILTER (maj = up) / count(*), 4) AS alignment_with_own_bloc, round(count(*) FILTER (NOT maj) / count(*), 4) AS dissent_rate FROM j GROUP BY ALL""",
 )
 def agg24(spark, sf_dir):
-    return centred(behaviour.drift(by_day(spark, sf_dir)), spark, sf_dir)
+    return behaviour.drift(by_window(behaviour.positions_by_span(spanned(spark, sf_dir), SPAN)), ("window_center",))
 
 
 def rounded_sql(a: str, b: str) -> str:
@@ -139,9 +137,9 @@ def agg28(spark, sf_dir):
     dissents = votes(spark, sf_dir).groupBy("case_id").agg(F.max(F.col("role") == "dissent").alias("dis"))
     rows = cases(spark, sf_dir).join(dissents, "case_id", "left").withColumn("dissenting", F.coalesce("dis", F.lit(False)))
     combo = F.array_compact(F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in COMBOS.items()]))
-    placed_cases = assign(rows.withColumn("combo", F.explode(combo)).select("combo", "date", "dissenting"), limits, WINDOW)
+    counts = spans(rows.withColumn("combo", F.explode(combo)).select("combo", "date", "dissenting"), limits, WINDOW).groupBy("combo", *SPAN).agg(F.count("*").alias("n"), F.count_if("dissenting").alias("d"))
     grid = windows(limits, WINDOW).withColumn("combo", F.explode(F.array(*map(F.lit, COMBOS))))
-    return behaviour.court_rates(grid, placed_cases).drop("k")
+    return behaviour.court_rates(grid, unfolded(counts)).drop("k")
 
 
 @query(

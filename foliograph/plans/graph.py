@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliograph.operators import communities, network
 from foliograph.operators.steps import tabled
-from foliograph.operators.windows import assign, bounds
+from foliograph.operators.windows import SPAN, assign, bounds, spans, unfolded
 from foliograph.plans.base import PRELUDE, WINDOW, cases, members, votes
 from foliograph.plans.registry import query
 
@@ -81,7 +81,7 @@ def flt5(spark, sf_dir):
 )
 def fsm14(spark, sf_dir):
     """The graph of each window, loops included."""
-    return network.window_edges(votes(spark, sf_dir), lambda df: assign(df, bounds(cases(spark, sf_dir)), WINDOW))
+    return network.window_edges(spans(votes(spark, sf_dir), bounds(cases(spark, sf_dir)), WINDOW), SPAN, unfolded)
 
 
 @query("agg35_symmetric_matrix", EDGES + "SELECT s AS row_member, sum(weight) FILTER (t % 3 = 0) AS thirds, count(*) AS filled FROM (SELECT source AS s, target AS t, weight FROM edges UNION ALL SELECT target, source, weight FROM edges) GROUP BY 1")
