@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from foliograph.llm._common import joined_unevenly, stored, table
 
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Pieces that a worker keeps before it starts anew, and the longest one that it keeps.
-REMEMBERED, LONGEST = 300_000, 48
+#: Pieces after which a worker lets go of those that it hasn't met since it last did, and the longest one that it keeps.
+REMEMBERED, LONGEST = 250_000, 48
 #: Characters of new pieces that are encoded at once, and of texts that are aligned at once, about.
 BATCH_BYTES, SLICE = 1 << 19, 1 << 21
 #: A place where both tokenizers end a token.
@@ -79,6 +79,7 @@ class Sides:
         self.space = self.b.piece_to_id(BLOCK)
         #: piece -> (tokens of A, tokens of B, groups as text, linked pairs); None if the bytes differ
         self.met: dict[str, tuple[int, int, str, tuple[int, ...]] | None] = {}
+        self.old = self.met.copy()
 
     def encoded(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         """Ids of both sides of each piece, and whether they give its bytes back; none where they don't."""
@@ -122,7 +123,9 @@ class Sides:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Put the alignments of all pieces of some texts into ``met``."""
-        new = list(set().union(*texts) - self.met.keys())
+        wanted = set().union(*texts) - self.met.keys()
+        self.met.update((p, self.old[p]) for p in wanted & self.old.keys())
+        new = list(wanted - self.old.keys())
         at = 0
         while at < len(new):
             end, size = at, 0
@@ -145,8 +148,8 @@ class Sides:
                 out.append((0, 0, "", {}))
                 continue
             out.append((sum([x[0] for x in parts]), sum([x[1] for x in parts]), ";".join([x[2] for x in parts]), Counter(chain.from_iterable([x[3] for x in parts]))))
-        if len(self.met) > REMEMBERED:
-            self.met.clear()
+        if len(self.met) > REMEMBERED:  # what is met again soon is kept
+            self.met, self.old = {}, self.met
         elif long := [p for p in set().union(*cut) if len(p) > LONGEST]:
             for p in long:
                 del self.met[p]
