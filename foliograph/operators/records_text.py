@@ -44,18 +44,23 @@ def voters(clause: Column) -> Column:
     return F.filter(parts, lambda p: (F.length(p) >= 2) & ~p.isin(*NO_VOTERS))
 
 
+def clauses_in(statements: DataFrame, key: str, raw: str) -> DataFrame:
+    """(key, i, part, category, tokens): what stands before each verb (part 0), and behind "joins ... of" (part 1)."""
+    t = repair.concur(F.coalesce(F.col(raw), F.lit("")))
+    verbs, clauses = F.regexp_extract_all(t, F.lit(f"({SAID})"), F.lit(1)), F.split(t, SAID, -1)
+    each = F.transform(verbs, lambda v, i: F.struct(vote_category(v).alias("category"), i.alias("i"), voters(F.get(clauses, i)).alias("before"), F.when(F.lower(v).rlike(r"^joins?\s"), voters(F.get(clauses, i + 1))).alias("after")))
+    said = statements.select(key, F.inline(each))
+    return said.select(key, "i", "category", F.posexplode(F.array("before", "after")).alias("part", "tokens")).where("tokens IS NOT NULL")
+
+
 def votes_in(statements: DataFrame, key: str, raw: str) -> DataFrame:
     """(key, category, pos, name): the names before each verb get its category, those after "joins ... of" 'other', too.
 
     A name that a category has twice stays once, where it stands first.
     """
-    t = repair.concur(F.coalesce(F.col(raw), F.lit("")))
-    verbs, clauses = F.regexp_extract_all(t, F.lit(f"({SAID})"), F.lit(1)), F.split(t, SAID, -1)
-    each = F.transform(verbs, lambda v, i: F.struct(vote_category(v).alias("category"), i.alias("i"), voters(F.get(clauses, i)).alias("before"), F.when(F.lower(v).rlike(r"^joins?\s"), voters(F.get(clauses, i + 1))).alias("after")))
-    said = statements.select(key, F.inline(each))
-    names = F.concat("before", F.coalesce("after", F.array().cast("array<string>")))
-    placed = said.select(key, "category", "i", F.posexplode(names).alias("j", "name")).groupBy(key, "category", "name").agg(F.min(F.struct("i", "j")).alias("at"))
-    return placed.select(key, "category", (F.col("at.i") * 1000 + F.col("at.j")).alias("pos"), "name")
+    said = clauses_in(statements, key, raw)
+    placed = said.select(key, "category", "i", "part", F.posexplode("tokens").alias("j", "name")).groupBy(key, "category", "name").agg(F.min(F.struct("i", "part", "j")).alias("at"))
+    return placed.select(key, "category", (F.col("at.i") * 1000 + F.col("at.part") * 500 + F.col("at.j")).alias("pos"), "name")
 
 
 #: How one says that somebody joins another's dissent.
@@ -75,15 +80,17 @@ def joined_dissents(statements: DataFrame, key: str, raw: str) -> DataFrame:
     return both.where("target <> '' AND joiner <> target").distinct()
 
 
-def best_match(tokens: DataFrame, registry: DataFrame, token: str = "token", name: str = "name", least: float = 0.75) -> DataFrame:
+def best_match(tokens: DataFrame, registry: DataFrame, token: str = "token", name: str = "name", least: float = 0.75, order: str | None = None) -> DataFrame:
     """(token, name, score): the most similar registered name of each distinct token, or none below ``least``.
 
+    Of names that are equally similar the first by the column ``order`` counts, else the first in the alphabet.
     Exact names go by a join. The others are compared with names that share two neighbouring letters only: texts of
     more than eight letters together that reach 0.75 do (else at least a letter stands between any two that match);
     shorter ones meet by single letters. Lengths and letters in common bound the ratio before it is computed.
     """
     distinct = tokens.select(F.upper(F.trim(token)).alias("up"), F.col(token)).distinct()
-    names = registry.select(F.col(name), F.upper(F.trim(name)).alias("key")).dropDuplicates(["key"])
+    key = F.upper(F.trim(name))
+    names = registry.select(F.col(name), key.alias("key"), (F.col(order) if order else key).alias("tie")).dropDuplicates(["key"])
     exact = distinct.join(names, F.col("up") == F.col("key")).select(token, name, F.lit(1.0).alias("score"))
     rest = distinct.join(names, F.col("up") == F.col("key"), "left_anti").select("up").distinct()
 
@@ -101,7 +108,7 @@ def best_match(tokens: DataFrame, registry: DataFrame, token: str = "token", nam
     def ratio(up: pd.Series, key: pd.Series) -> pd.Series:
         return pd.Series([SequenceMatcher(None, k, u).ratio() for u, k in zip(up, key)], dtype=float)
 
-    top = pairs.withColumn("score", ratio("up", "key")).where(F.col("score") >= least).groupBy("up").agg(F.min_by(F.struct("key", "score"), F.struct(-F.col("score"), "key")).alias("m"))
+    top = pairs.withColumn("score", ratio("up", "key")).where(F.col("score") >= least).join(names.select("key", "tie"), "key").groupBy("up").agg(F.min_by(F.struct("key", "score"), F.struct(-F.col("score"), "tie")).alias("m"))
     found = distinct.join(top, "up").select(token, F.col("m.key").alias("key"), F.col("m.score").alias("score"))
     return exact.union(found.join(names, "key").select(token, name, "score"))
 

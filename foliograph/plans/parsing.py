@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliograph.functions import fields
-from foliograph.operators import boundaries, case_scan, records, records_text, sections
+from foliograph.operators import boundaries, case_scan, records, records_text, registry_names, sections
 from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
 
@@ -56,6 +56,48 @@ def fsm9(spark, sf_dir):
     return records_text.joined_dissents(vote_statements(spark, sf_dir), "case_id", "joins")
 
 
+def nation_statements(spark, sf_dir):
+    """(case_id, raw): the nations of each side as misread names, every third list with two of them run together."""
+    v = votes(spark, sf_dir).select("case_id", "role", "member")
+    nations = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("member"), F.col("s_nationkey").alias("n_nationkey")).join(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_nationkey")
+    said = F.when((F.length("n_name") >= 7) & ((F.col("case_id") + F.col("n_nationkey")) % 4 == 1), F.concat(F.lit("X"), F.expr("substring(n_name, 2)"))).otherwise(F.initcap("n_name"))
+    named = v.join(nations, "member").select("case_id", "role", "n_nationkey", said.alias("said")).distinct()
+    lists = named.groupBy("case_id").agg(*[F.transform(F.sort_array(F.collect_list(F.when(F.col("role") == r, F.struct("n_nationkey", "said")))), lambda x: x["said"]).alias(r) for r in ("majority", "dissent")])
+    run = lambda c: F.when((F.col("case_id") % 3 == 0) & (F.size(c) >= 2), F.concat(F.get(c, 0), F.lit(" "), F.array_join(F.slice(c, 2, 100), ", "))).otherwise(F.array_join(c, ", "))
+    stranger = F.when(F.col("case_id") % 5 == 0, ", Zzyzx").otherwise("")
+    parts = F.array_compact(F.array(F.when(F.size("majority") > 0, F.concat(run("majority"), stranger, F.lit(", JJ., concur"))), F.when(F.size("dissent") > 0, F.concat(run("dissent"), F.lit(", JJ., dissent")))))
+    return lists.select("case_id", F.concat(F.array_join(parts, " and "), F.lit(".")).alias("raw"))
+
+
+@query(
+    "fsm8_registry_names",
+    PRELUDE + """, n AS (SELECT s_suppkey AS member, upper(n_name) AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT DISTINCT case_id, CASE role WHEN 'dissent' THEN 'dissenting' ELSE 'concurring' END AS category, name FROM votes JOIN n USING (member)
+    UNION ALL SELECT DISTINCT case_id, 'unmatched', 'Zzyzx' FROM votes WHERE role = 'majority' AND case_id % 5 = 0""",
+)
+def fsm8(spark, sf_dir):
+    """Names of votes as a registry has them: misread, run together, of two words, and one that nobody has."""
+    registry = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"))
+    return registry_names.named_votes(nation_statements(spark, sf_dir), "case_id", "raw", registry)
+
+
+@query(
+    "jn5_registry_persons",
+    """WITH p AS (SELECT n_name, s_suppkey, min(s_suppkey) OVER (PARTITION BY n_name) AS head FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT n_name || CASE WHEN s_suppkey = head THEN ', JR.' ELSE '' END AS name, 'P' || s_suppkey || ' ' || n_name || CASE WHEN s_suppkey = head THEN ', Jr.' ELSE '' END AS person FROM p""",
+)
+def jn5(spark, sf_dir):
+    """Registry names with and without "Jr." to persons: the one junior of a nation is claimed by the name that needs one."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    own = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey")).join(nation, "n_nationkey")
+    head = own.groupBy("n_nationkey").agg(F.min("s_suppkey").alias("head"))
+    junior = F.when(F.col("s_suppkey") == F.col("head"), ", Jr.").otherwise("")
+    persons = own.join(head, "n_nationkey").select(F.concat(F.lit("P"), F.col("s_suppkey").cast("string"), F.lit(" "), "n_name", junior).alias("person"))
+    names = nation.select("n_nationkey", F.explode(F.array(F.concat("n_name", F.lit(", JR.")), F.col("n_name"))).alias("name"))
+    registry = names.select((F.col("n_nationkey") * 2 + F.when(F.col("name").endswith("JR."), 0).otherwise(1)).alias("ord"), "name")
+    return registry_names.registry_persons(registry, persons)
+
+
 @query(
     "jn10_str17_surnames",
     PRELUDE + """, t AS (SELECT member, bloc, 'Name' || (member % 7) AS surname FROM members), asked AS (SELECT case_id, bloc, 'Name' || (member % 7) AS surname FROM votes)
