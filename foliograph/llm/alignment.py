@@ -18,6 +18,7 @@ results. Columns other than key and text, whatever their names, are left aside;
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import Counter
@@ -35,7 +36,7 @@ SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pieces after which a worker lets go of those that it hasn't met since it last did, and the longest one that it keeps.
 REMEMBERED, LONGEST = 250_000, 48
 #: Characters of new pieces that are encoded at once, and of texts that are aligned at once, about.
-BATCH_BYTES, SLICE = 1 << 19, 1 << 21
+BATCH_BYTES, SLICE = 1 << 16, 1 << 21
 #: A place where both tokenizers end a token.
 BREAK = re.compile(r"(?<=\S)(?=[ \n])")
 #: U+2581 is the second tokenizer's space; a text that holds it never gives its bytes back.
@@ -57,6 +58,7 @@ class Sides:
         import numpy as np
         import public_tokenizers
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         from foliograph.llm.bpe_dp import byte_symbols
@@ -67,6 +69,8 @@ class Sides:
         self.a.no_padding()
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
+        with open(a, encoding="utf-8") as f:
+            spec = json.load(f)
         byte_of = {s: n for n, s in byte_symbols().items()}
         self.bytes_a = [b""] * self.a.get_vocab_size()
         for s, i in self.a.get_vocab().items():
@@ -77,6 +81,13 @@ class Sides:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLOCK, " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array([len(x) for x in side]) for side in (self.bytes_a, self.bytes_b))
         self.space = self.b.piece_to_id(BLOCK)
+        # where merges rank as their tokens' ids do, another library reads the same vocabulary several times faster
+        vocabulary, special = spec["model"]["vocab"], {x["content"] for x in spec["added_tokens"]}
+        ranks = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in spec["model"]["merges"]]
+        self.fast = None
+        if spec["normalizer"] is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and ranks == sorted(ranks):
+            self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={self.bytes_a[i]: i for s, i in vocabulary.items() if s not in special}, special_tokens={})
+        self.decimal = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         #: piece -> (tokens of A, tokens of B, groups as text, linked pairs); None if the bytes differ
         self.met: dict[str, tuple[int, int, str, tuple[int, ...]] | None] = {}
         self.old = self.met.copy()
@@ -101,25 +112,58 @@ class Sides:
             left, right = ([x if ok else [] for x, ok in zip(side, good)] for side in (left, right))
         return left, right, good
 
-    def align(self, pieces: list[str]) -> list[tuple[int, int, str, tuple[int, ...]] | None]:
-        """Groups and links of each piece, found on one axis of bytes on which all of them lie end to end."""
+    def aligned_ids(self, a, b, stops_a: list[int], stops_b: list[int]) -> list[tuple[int, int, str, tuple[int, ...]]]:
+        """Groups and links of pieces that lie end to end on one axis of bytes, from the ids of all their tokens.
+
+        ``stops_a`` and ``stops_b`` number the tokens up to each piece's end.
+        """
         import numpy as np
 
-        left, right, good = self.encoded(pieces)
-        a, b = (np.array(list(chain.from_iterable(side)), "int64") for side in (left, right))
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         first, last = overlaps(ends_a - self.size_a[a], ends_a, ends_b - self.size_b[b], ends_b)
         # a gap that no token of B spans: the next token's list begins after this one's ends
         cut = np.flatnonzero(np.append(last[:-1] < first[1:], True)) if len(a) else np.array([], "int64")
         pair = ((a[cut] << 32) | b[last[cut]]).tolist()
-        upto = np.searchsorted(cut, np.cumsum([0, *map(len, left)]) - 1, "right").tolist()  # groups before each piece
+        upto = np.searchsorted(cut, np.array([0, *stops_a]) - 1, "right").tolist()  # groups before each piece
         stop_a, stop_b = [0, *(cut + 1).tolist()], [0, *(last[cut] + 1).tolist()]
-        ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        one = np.append(True, np.diff(cut) == 1) & np.append(True, np.diff(last[cut]) == 1) if len(cut) else []
-        groups = [f"{ids_a[i]}|{ids_b[j]}" if single else "" for i, j, single in zip(stop_a, stop_b, list(one))]
-        for k in np.flatnonzero(~np.array(one, bool)).tolist() + ([0] if groups else []):
+        ids_a, ids_b = (list(map(self.decimal.__getitem__, x.tolist())) for x in (a, b))
+        groups = [f"{i}|{j}" for i, j in zip(map(ids_a.__getitem__, stop_a[:-1]), map(ids_b.__getitem__, stop_b[:-1]))]
+        several = np.flatnonzero((np.diff(stop_a) > 1) | (np.diff(stop_b) > 1)) if len(cut) else []
+        for k in map(int, several):
             groups[k] = f"{','.join(ids_a[stop_a[k] : stop_a[k + 1]])}|{','.join(ids_b[stop_b[k] : stop_b[k + 1]])}"
-        return [(len(x), len(y), ";".join(groups[i:j]), tuple(pair[i:j])) if ok else None for x, y, ok, i, j in zip(left, right, good, upto, upto[1:])]
+        lengths = (np.diff([0, *stops]).tolist() for stops in (stops_a, stops_b))
+        return [(n, m, ";".join(groups[i:j]), tuple(pair[i:j])) for n, m, i, j in zip(*lengths, upto, upto[1:])]
+
+    def align_each(self, pieces: list[str]) -> list[tuple[int, int, str, tuple[int, ...]] | None]:
+        """Alignments of pieces that are encoded one by one; None where the tokens don't give their bytes back."""
+        import numpy as np
+
+        left, right, good = self.encoded(pieces)
+        a, b = (np.array(list(chain.from_iterable(side)), "int64") for side in (left, right))
+        stops = (np.cumsum([len(x) for x in side]).tolist() for side in (left, right))
+        return [x if ok else None for x, ok in zip(self.aligned_ids(a, b, *stops), good)]
+
+    def align(self, pieces: list[str]) -> list[tuple[int, int, str, tuple[int, ...]] | None]:
+        """Alignments of pieces. Those that end in no white space are encoded as one text, which breaks between them."""
+        import numpy as np
+
+        solid, rest = [" ."], []
+        for p in pieces:
+            (rest if p[-1].isspace() else solid).append(p)
+        found: dict[str, tuple | None] = dict(zip(rest, self.align_each(rest))) if rest else {}
+        text = "".join(solid)
+        whole = text.encode()
+        a = self.fast.encode_ordinary(text) if self.fast else self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:], num_threads=1)
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
+        a, b = np.array(a, "int64"), np.array(b, "int64")
+        ends = np.cumsum(list(map(len, solid)) if text.isascii() else [len(p.encode()) for p in solid])
+        stops = [np.searchsorted(np.cumsum(size[x]), ends) for size, x in ((self.size_a, a), (self.size_b, b))] if same else []
+        if same and all(np.array_equal(np.cumsum(size[x])[k], ends) for size, x, k in ((self.size_a, a, stops[0]), (self.size_b, b, stops[1]))):
+            found.update(zip(solid, self.aligned_ids(a, b, *((k + 1).tolist() for k in stops))))
+        else:
+            found.update(zip(solid, self.align_each(solid)))
+        return [found[p] for p in pieces]
 
     def learn(self, texts: list[list[str]]) -> None:
         """Put the alignments of all pieces of some texts into ``met``."""
