@@ -30,6 +30,17 @@ def with_page(rows: DataFrame, key: str, marker: Column) -> DataFrame:
     return rows.withColumn("page", F.coalesce(F.last(marker, ignorenulls=True).over(w), F.lit(0)))
 
 
+#: Fixed value: a page marker in a volume's text.
+PAGE = r"^--- Page (\d+) ---$"
+
+
+def indexed_lines(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, line_no from 0, line, page): as ``lines``, but the empty line after a last newline stays; page 0 before a marker."""
+    rows = lines(docs, key, text, keep_trailing=True)
+    marker = F.when(F.col("line").rlike(PAGE), F.regexp_extract("line", PAGE, 1).try_cast("int"))
+    return with_page(rows, key, marker).select(key, (F.col("line_no") - 1).alias("line_no"), "line", "page")
+
+
 def line_of(points: DataFrame, rows: DataFrame, key: str, offset: str = "char") -> DataFrame:
     """As-of join: the last line that starts at or before each offset; offsets outside are clamped.
 

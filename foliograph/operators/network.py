@@ -52,3 +52,49 @@ def window_edges(participation: DataFrame, span: tuple[str, ...], unfold) -> Dat
 
     counts = pairs("majority", 1).union(pairs("dissent", 2)).groupBy(*span, "source", "target").agg(F.count("*").alias("n"))
     return unfold(counts).groupBy("k", "source", "target").agg(F.sum("n").alias("weight"))
+
+
+#: Names that are nobody's.
+NOBODY = ["LLM_TEST_MARKER", "Per curiam", "PER CURIAM", ""]
+
+
+def case_blocs(cases: DataFrame, no_part_dissents: bool = False, other_dissents: bool = False) -> DataFrame:
+    """(case_id, rule, names): who voted together in each case of (case_id, ponente, concurring, dissenting, no_part, other).
+
+    The author belongs to the majority, unless it is the whole court or nobody is named; lists keep repeated names.
+    """
+    some = lambda c: F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: ~x.isin(*NOBODY))
+    author = F.trim(F.coalesce("ponente", F.lit("")))
+    majority = F.concat(some("concurring"), F.when(~author.isin(*NOBODY), F.array(author)).otherwise(F.array().cast("array<string>")))
+    dissent = F.concat(some("dissenting"), *[some(c) for c, on in (("no_part", no_part_dissents), ("other", other_dissents)) if on])
+    sides = F.array(F.struct(F.lit("majority").alias("rule"), majority.alias("names")), F.struct(F.lit("dissent").alias("rule"), dissent.alias("names")))
+    return cases.select("case_id", F.inline(sides))
+
+
+def ruled_edges(blocs: DataFrame, joins: DataFrame) -> DataFrame:
+    """(source, target, weight, majority, dissent, joins): edges with what they come from, source before target.
+
+    Pairs within the majority, pairs of two dissenters or more, and who joins whose dissent (case_id, joiner, target), in
+    one generation of pairs. A bench bounds the names of a case.
+    """
+    x = blocs.where((F.col("rule") == "majority") | (F.size("names") >= 2)).select("rule", F.posexplode("names").alias("i", "a"), "names")
+    pairs = x.select("rule", "a", F.explode(F.slice("names", F.col("i") + 2, F.size("names"))).alias("b"))
+    both = pairs.unionByName(joins.select(F.lit("joins").alias("rule"), F.col("joiner").alias("a"), F.col("target").alias("b"))).where("a <> b")
+    return both.groupBy(F.least("a", "b").alias("source"), F.greatest("a", "b").alias("target")).agg(F.count("*").alias("weight"), *[F.count_if(F.col("rule") == r).alias(r) for r in ("majority", "dissent", "joins")])
+
+
+def case_counts(blocs: DataFrame) -> DataFrame:
+    """(node, case_count): how often each name stands in a bloc."""
+    return blocs.select(F.explode("names").alias("node")).groupBy("node").agg(F.count("*").alias("case_count"))
+
+
+def edge_statistics(cases: DataFrame, blocs: DataFrame, joins: DataFrame) -> DataFrame:
+    """One row: cases, those without an author and of the whole court, edges added by each rule (repeats included)."""
+    n = F.size("names")
+    named = F.size(F.array_distinct("names"))
+    loops = F.aggregate(F.array_distinct("names"), F.lit(0).cast("long"), lambda t, y: t + (F.size(F.filter("names", lambda z: z == y)) * (F.size(F.filter("names", lambda z: z == y)) - 1) / 2).cast("long"))
+    added = F.when((F.col("rule") == "majority") | (n >= 2), (n * (n - 1) / 2).cast("long") - F.when(named < n, loops).otherwise(0))
+    rules = blocs.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == r, added)), F.lit(0)).alias(f"{r}_edges") for r in ("majority", "dissent")])
+    author = F.trim(F.coalesce("ponente", F.lit("")))
+    first = cases.agg(F.count("*").alias("n_cases"), F.count_if(author == "").alias("empty_ponente"), F.count_if(author.isin("", "Per curiam", "PER CURIAM")).alias("per_curiam_cases"))
+    return first.crossJoin(rules).crossJoin(joins.agg(F.count_if(F.col("joiner") != F.col("target")).alias("join_edges")))  # single rows

@@ -22,6 +22,57 @@ def agg19(spark, sf_dir):
     return network.edges(votes(spark, sf_dir))
 
 
+RULED = PRELUDE + """, mv AS (SELECT case_id, 'M' || member AS name, role, member FROM votes),
+au AS (SELECT case_id, CASE WHEN case_id % 7 <> 0 AND case_id % 11 <> 0 THEN min_by(name, member) FILTER (role = 'majority') END AS author FROM mv GROUP BY 1),
+en AS (SELECT case_id, role, name, member FROM mv JOIN (SELECT case_id, min(member) FILTER (role = 'majority') AS head FROM mv GROUP BY 1) USING (case_id) WHERE role = 'dissent' OR member <> head
+       UNION ALL SELECT case_id, 'majority', author, -1 FROM au WHERE author IS NOT NULL),
+el AS (SELECT *, row_number() OVER (PARTITION BY case_id, role ORDER BY member, name) AS i, count(*) OVER (PARTITION BY case_id, role) AS n FROM en),
+dj AS (SELECT DISTINCT d.case_id, d.name AS joiner, t.name AS target FROM mv d JOIN (SELECT case_id, min_by(name, member) AS name FROM mv WHERE role = 'dissent' GROUP BY 1) t ON d.case_id = t.case_id AND d.role = 'dissent' AND d.name <> t.name)
+"""
+
+
+def ruled_cases(spark, sf_dir):
+    """Case rows with names: the majority's first member is the author, of some cases the whole court or nobody is."""
+    v = votes(spark, sf_dir).select("case_id", "role", F.struct("member", F.concat(F.lit("M"), F.col("member").cast("string")).alias("name")).alias("m"))
+    sides = v.groupBy("case_id").agg(*[F.sort_array(F.collect_list(F.when(F.col("role") == r, F.col("m")))).alias(r) for r in ("majority", "dissent")])
+    head, names = F.get("majority", 0), lambda c: F.transform(c, lambda x: x["name"])
+    author = F.when(F.col("case_id") % 7 == 0, "PER CURIAM").when(F.col("case_id") % 11 == 0, None).otherwise(head["name"])
+    rest = F.filter("majority", lambda x: x["member"] != head["member"])
+    none = F.array().cast("array<string>")
+    return sides.select("case_id", author.alias("ponente"), names(rest).alias("concurring"), names("dissent").alias("dissenting"), none.alias("no_part"), none.alias("other"))
+
+
+def dissent_joins(spark, sf_dir):
+    d = ruled_cases(spark, sf_dir).select("case_id", F.get("dissenting", 0).alias("target"), F.explode(F.array_distinct("dissenting")).alias("joiner"))
+    return d.where("joiner <> target").select("case_id", "joiner", "target")
+
+
+@query(
+    "agg19_edges_by_rule",
+    RULED + """, p AS (SELECT a.role AS rule, a.name AS a, b.name AS b FROM el a JOIN el b ON a.case_id = b.case_id AND a.role = b.role AND a.i < b.i WHERE a.name <> b.name UNION ALL SELECT 'joins', joiner, target FROM dj)
+    SELECT least(a, b) AS source, greatest(a, b) AS target, count(*) AS weight, count(*) FILTER (rule = 'majority') AS majority, count(*) FILTER (rule = 'dissent') AS dissent, count(*) FILTER (rule = 'joins') AS joins FROM p GROUP BY 1, 2""",
+)
+def agg19_rules(spark, sf_dir):
+    """Edges by all three rules, with the author in the majority and what each edge comes from."""
+    return network.ruled_edges(network.case_blocs(ruled_cases(spark, sf_dir)), dissent_joins(spark, sf_dir))
+
+
+@query("agg19_case_counts", RULED + "SELECT name AS node, count(*) AS case_count FROM en GROUP BY 1")
+def agg19_counts(spark, sf_dir):
+    return network.case_counts(network.case_blocs(ruled_cases(spark, sf_dir)))
+
+
+@query(
+    "agg19_statistics",
+    RULED + """, p AS (SELECT a.role AS rule FROM el a JOIN el b ON a.case_id = b.case_id AND a.role = b.role AND a.i < b.i WHERE a.name <> b.name)
+    SELECT count(*) AS n_cases, count(*) FILTER (case_id % 7 <> 0 AND author IS NULL) AS empty_ponente, count(*) FILTER (author IS NULL) AS per_curiam_cases,
+    (SELECT count(*) FROM p WHERE rule = 'majority') AS majority_edges, (SELECT count(*) FROM p WHERE rule = 'dissent') AS dissent_edges, (SELECT count(*) FROM dj) AS join_edges FROM au""",
+)
+def agg19_statistics(spark, sf_dir):
+    rows = ruled_cases(spark, sf_dir)
+    return network.edge_statistics(rows, network.case_blocs(rows), dissent_joins(spark, sf_dir))
+
+
 @query(
     "sj1_majority_pairs",
     PRELUDE + "SELECT a.member AS source, b.member AS target, count(*) AS weight FROM (SELECT DISTINCT case_id, member FROM votes) a JOIN (SELECT DISTINCT case_id, member FROM votes) b ON a.case_id = b.case_id AND a.member < b.member GROUP BY ALL",

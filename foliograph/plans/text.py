@@ -25,6 +25,20 @@ def src9(spark, sf_dir):
     return doc_lines(spark, sf_dir).select("doc_id", "line_no", "start_char", F.length("line").cast("long").alias("n_chars"), F.md5("line").alias("line_md5"))
 
 
+@query(
+    "src10_indexed_lines",
+    """WITH t AS (SELECT doc_id, replace(replace(replace(coalesce(text, ''), '. ', chr(10) || '--- Page ' || (doc_id % 90 + 1) || ' ---' || chr(13) || chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10) AS x FROM documents),
+    l AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line, unnest(range(0, len(string_split(x, chr(10))))) AS line_no FROM t),
+    m AS (SELECT *, CASE WHEN regexp_matches(line, '^--- Page [0-9]+ ---$') THEN CAST(regexp_extract(line, '[0-9]+') AS INTEGER) END AS marker FROM l)
+    SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, md5(line) AS line_md5, coalesce(last_value(marker IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS page FROM m""",
+)
+def src10(spark, sf_dir):
+    """Documents with a page marker after each sentence: lines from 0 with their page, the last empty one included."""
+    marked = F.concat(F.replace(F.coalesce("text", F.lit("")), F.lit(". "), F.concat(F.lit("\n--- Page "), (F.col("doc_id") % 90 + 1).cast("string"), F.lit(" ---\r\n"))), F.lit("\n"))
+    rows = model.indexed_lines(table(spark, sf_dir, "documents").select("doc_id", marked.alias("text")), "doc_id")
+    return rows.select("doc_id", "line_no", F.md5("line").alias("line_md5"), "page")
+
+
 POINTS = "SELECT doc_id, CAST(o AS BIGINT) AS char FROM documents, (VALUES (0), (57), (400), (1000000)) t(o)"
 
 
