@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import first_regex
-from foliograph.plans.base import PRELUDE, cases
+from foliograph.operators import first_regex, span_scores
+from foliograph.plans.base import PRELUDE, cases, table
 from foliograph.plans.registry import query
 
 TEXTS = PRELUDE + """, x AS (SELECT case_id, strftime(d, '%B %-d, %Y') AS day, 'Customer ' || party || ', petitioner, vs. STATE, respondent.' AS who, case_id % 3 = 1 AS short, case_id % 5 = 0 AS split FROM cases),
@@ -42,3 +42,20 @@ def str22(spark, sf_dir):
     found = first_regex.subfields(case_texts(spark, sf_dir), "case_id")
     listed = F.array_join(F.transform("opinions", lambda x: F.concat(x["type"], F.lit(": "), x["author"])), "; ")
     return found.select("case_id", "parties_raw", "has_syllabus", "has_decision", "has_resolution", "has_so_ordered", "syllabus_raw", "doc_type", "ponente_name", "ponente_title", listed.alias("opinions"))
+
+
+SPANS = """WITH r AS (SELECT l_orderkey AS case_id, l_linenumber AS ln, min(l_partkey) % 45 AS d, min(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
+x AS (SELECT *, unnest(['start_of_case', 'date', 'parties']) AS label FROM r), m AS (SELECT *, flag <> 'R' AS guessed, flag <> 'R' AND (label = 'start_of_case' OR d <= 5) AS hit FROM x)
+SELECT label, count(*) FILTER (hit) AS tp, count(*) FILTER (guessed AND NOT hit) AS fp, count(*) FILTER (NOT hit) AS fn, round(count(*) FILTER (hit) / count(*) FILTER (guessed), 4) AS precision,
+round(count(*) FILTER (hit) / count(*), 4) AS recall, round(2 * count(*) FILTER (hit) / (count(*) + count(*) FILTER (guessed)), 4) AS f1 FROM m GROUP BY 1"""
+
+
+@query("fsm10_label_scores", SPANS)
+def fsm10_labels(spark, sf_dir):
+    """Spans of lines against ones that are moved, for a place, a text and a grouped label whose even groups are misnumbered."""
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("ord")).agg((F.min("l_partkey") % 45).alias("d"), F.min("l_returnflag").alias("flag"))
+    rows = rows.withColumns({"label": F.explode(F.array(*map(F.lit, ("start_of_case", "date", "parties")))), "s": F.col("ord").cast("long") * 100})
+    truth = rows.select("case_id", "label", "ord", F.col("ord").alias("grp"), "s", (F.col("s") + 50).alias("e"))
+    group = F.when(F.col("ord") % 2 == 0, F.col("ord") + 1).otherwise(F.col("ord"))
+    guess = rows.where("flag <> 'R'").select("case_id", "label", "ord", group.alias("grp"), (F.col("s") + F.col("d")).alias("s"), (F.col("s") + F.col("d") + 50).alias("e"))
+    return span_scores.label_scores(span_scores.matches(truth, guess, ["case_id"]), ["label"])
