@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import first_regex, span_scores
+from foliograph.operators import first_regex, span_changes, span_scores
 from foliograph.plans.base import PRELUDE, cases, table
 from foliograph.plans.registry import query
 
@@ -59,3 +59,18 @@ def fsm10_labels(spark, sf_dir):
     group = F.when(F.col("ord") % 2 == 0, F.col("ord") + 1).otherwise(F.col("ord"))
     guess = rows.where("flag <> 'R'").select("case_id", "label", "ord", group.alias("grp"), (F.col("s") + F.col("d")).alias("s"), (F.col("s") + F.col("d") + 50).alias("e"))
     return span_scores.label_scores(span_scores.matches(truth, guess, ["case_id"]), ["label"])
+
+
+@query(
+    "set6_five_way_diff",
+    """WITH r AS (SELECT l_orderkey AS case_id, l_linenumber AS ln, min(l_partkey) % 300 AS d, min(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
+    k AS (SELECT unnest(CASE WHEN flag = 'A' THEN ['removed'] WHEN flag = 'N' OR d = 0 THEN ['exact'] WHEN d <= 200 THEN ['span_adjusted'] ELSE ['removed', 'added'] END) AS kind FROM r) SELECT kind, count(*) AS n FROM k GROUP BY 1""",
+)
+def set6_five(spark, sf_dir):
+    """Spans of lines that stay, go, or move by up to 299 characters."""
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("label")).agg((F.min("l_partkey") % 300).alias("d"), F.min("l_returnflag").alias("flag"))
+    place = lambda s: [s.alias("s"), (s + 50).alias("e")]
+    start = F.col("label").cast("long") * 1000
+    before = rows.select("case_id", "label", *place(start))
+    after = rows.where("flag <> 'A'").select("case_id", "label", *place(start + F.when(F.col("flag") == "R", F.col("d")).otherwise(0)))
+    return span_changes.five_way(before, after).groupBy("kind").agg(F.count("*").alias("n"))
