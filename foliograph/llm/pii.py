@@ -347,11 +347,22 @@ def replaced(text: str | None, key: bytes, again: dict[tuple[str, str], int]) ->
     return "".join(out), n
 
 
+#: Rows of which a task holds the texts and their surrogates at once.
+ROWS = 500
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, so that a worker never holds thousands of texts twice."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def redrawn(docs: DataFrame, text: str, key: bytes) -> DataFrame:
     """(kind, value, attempt) of the corpus's values whose first surrogate collides."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             got = {(kind, value) for t in batch.column(0).to_pylist() if t for _, _, kind, value in entities(t)}
             kinds, values = ([g[k] for g in got] for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["kind", "value"])
@@ -390,7 +401,7 @@ def with_surrogates(docs: DataFrame, key_column: str = "doc_id", text: str = "te
     at = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(at).to_pylist()
             if shared.value is not None:
                 got = [replaced(t, key, shared.value) for t in texts]
