@@ -38,7 +38,7 @@ def matched(tokens: DataFrame, registry: DataFrame, aliases: DataFrame | None =
     """(token, name, score) of each different token that some entry of the registry (ord, name) fits; aliases: (alias, name)."""
     keys = tabled(registry_keys(registry))
     asked = tokens.select(F.trim("token").alias("token")).distinct().where(F.length("token") >= 2).withColumn("up", F.upper("token"))
-    tiers = [asked.join(keys, F.col("up") == F.concat("key", F.lit(""))).select("token", "name", F.lit(1).alias("tier"))]
+    tiers = [asked.join(keys, F.col("up") == F.col("key")).select("token", "name", F.lit(1).alias("tier"))]
     tiers += [asked.join(keys, F.concat("up", F.lit(s)) == F.col("key")).select("token", "name", F.lit(k).alias("tier")) for k, s in ((2, ", JR."), (3, ", SR."))]
     if aliases is not None:
         meant = aliases.select(F.upper("alias").alias("up"), F.upper("name").alias("key"))
