@@ -26,9 +26,12 @@ def _names_any(line: Column, surnames: list[str]) -> Column:
 
 
 def _near(lines: DataFrame, cases: DataFrame, key: str, first: Column, last: Column) -> DataFrame:
-    """Lines that aren't noise with numbers from ``first`` to ``last`` of each case."""
+    """Lines that aren't noise with numbers from ``first`` to ``last`` of each case.
+
+    Lines that are made of a small table look small to the optimiser, so joins of lines are asked for by merging.
+    """
     asked = cases.where(last >= first).withColumn("line_no", F.explode(F.sequence(first, last)))
-    return asked.join(lines.where("NOT is_noise").select(key, "line_no", "line"), [key, "line_no"])
+    return asked.join(lines.where("NOT is_noise").select(key, "line_no", "line").hint("merge"), [key, "line_no"])
 
 
 def stranded_brackets(lines: DataFrame, boundaries: DataFrame, key: str) -> DataFrame:
@@ -43,7 +46,7 @@ def stranded_brackets(lines: DataFrame, boundaries: DataFrame, key: str) -> Data
     text = F.trim("line")
     kind = F.when(F.upper("line").rlike("DIVIS|BANC"), 1).when(F.length(text) > 80, 0)
     seen = F.when(~F.col("is_noise") & (text != "") & kind.isNotNull(), F.struct("line_no", kind.alias("is_division")))
-    marked = lines.join(ends, [key, "line_no"], "left").select(
+    marked = lines.join(ends.hint("merge"), [key, "line_no"], "left").select(
         key, "line_no", F.max("line_no").over(Window.partitionBy(key)).alias("total"), (~F.col("is_noise") & F.col("line").rlike(LINES["bracket"])).alias("bracket"),
         F.coalesce(F.max("end_line").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) >= F.col("line_no"), F.lit(False)).alias("covered"),
         F.last(seen, ignorenulls=True).over(by_line.rowsBetween(Window.unboundedPreceding, -1)).alias("seen"),
@@ -144,4 +147,4 @@ def displaced_endings(lines: DataFrame, boundaries: DataFrame, key: str) -> Data
     order = F.array_min(F.transform(F.filter("xs", lambda x: x["order"]), lambda x: x["line_no"]))
     taken = F.filter("xs", lambda x: x["order"] | x["closing"] | (x["behind"] & (x["line_no"] > order)))
     moved = listed.select(key, "start_line", F.array_max(F.transform(taken, lambda x: x["line_no"])).alias("moved"))
-    return boundaries.join(moved, [key, "start_line"], "left").select(key, "start_line", F.coalesce("moved", "end_line").cast("int").alias("end_line"))
+    return boundaries.join(moved.hint("merge"), [key, "start_line"], "left").select(key, "start_line", F.coalesce("moved", "end_line").cast("int").alias("end_line"))

@@ -52,7 +52,7 @@ def fsm3(spark, sf_dir):
     lines = rendered(rows, texts)
     known = rows.where("o % 4 = 0").select("vol", (F.col("i") * 20 + 1).alias("start_line"), (F.col("i") * 20 + 20).alias("end_line"))
     found = boundaries.stranded_brackets(lines, known, "vol")
-    text = lines.select("vol", F.col("line_no").alias("bracket_line"), "line")
+    text = lines.select("vol", F.col("line_no").alias("bracket_line"), "line").hint("merge")
     number = brackets.bracket_number(F.col("line"), F.lit("May 3, 1999"))
     return found.join(text, ["vol", "bracket_line"], "left").select("vol", "start_line", "end_line", "bracket_line", number.alias("number"))
 
