@@ -11,6 +11,16 @@ from foliograph.plans.base import PRELUDE, cases, table, votes
 from foliograph.plans.registry import query
 
 
+def numbered(rendered):
+    """(volume, line_no, line) of cases with their lines (volume, case_id, parts): a case's first number comes from the
+    sizes of those before it, so that only cases are sorted, not lines."""
+    n = F.size("parts")
+    before = F.sum(n).over(Window.partitionBy("volume").orderBy("case_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - n
+    # a step of its own: beside a generator a window would run over its rows
+    placed = rendered.withColumn("before", before)
+    return placed.select("volume", "before", F.posexplode("parts").alias("i", "line")).select("volume", (F.col("before") + F.col("i") + 1).cast("int").alias("line_no"), "line")
+
+
 def volume_lines(spark, sf_dir):
     """(volume, line_no, line): every case of a month as a few lines of court text, one after the other."""
     c = cases(spark, sf_dir)
@@ -19,9 +29,7 @@ def volume_lines(spark, sf_dir):
         F.concat(F.lit("[G.R. No. "), F.col("case_id").cast("string"), F.lit(". "), F.date_format("date", "MMMM d, yyyy"), F.lit("]")),
         F.concat(F.lit("Customer "), F.col("party").cast("string"), F.lit(", petitioner, vs. STATE, respondent.")), F.lit("DECISION"), *[F.lit(f"Line {k} of the reasoning.") for k in range(8)], F.lit("SO ORDERED."),
     )
-    each = c.select("volume", "case_id", F.posexplode(parts).alias("i", "line"))
-    no = F.row_number().over(Window.partitionBy("volume").orderBy("case_id", "i"))
-    return each.select("volume", no.alias("line_no"), "line")
+    return numbered(c.select("volume", "case_id", parts.alias("parts")))
 
 
 @query("fsm1_str11_case_boundaries", PRELUDE + "SELECT volume, case_id, d AS date, CAST((row_number() OVER (PARTITION BY volume ORDER BY case_id) - 1) * 14 + 1 AS INTEGER) AS start_line FROM cases")
@@ -256,9 +264,8 @@ def fsm2_volumes(spark, sf_dir):
     body = [F.lit("Doe, petitioner, vs. STATE, respondent."), F.lit("DECISION"), *[F.lit(f"Line {k} of the reasoning.") for k in range(8)]]
     none = F.array().cast("array<string>")
     parts = F.concat(F.array(*head), F.when(F.col("after"), F.array(*ending)).otherwise(none), F.array(*body), F.when(F.col("late"), none).otherwise(F.array(*ending)))
-    no = F.row_number().over(Window.partitionBy("volume").orderBy("case_id", "i"))
-    lines = case_scan.classified(c.select("volume", "case_id", F.posexplode(parts).alias("i", "line")).select("volume", no.alias("line_no"), "line"))
+    lines = case_scan.classified(numbered(c.select("volume", "case_id", parts.alias("parts"))))
     found = case_scan.boundaries(lines)
     mended = boundaries.displaced_endings(lines.withColumn("is_noise", F.lit(False)), found, "volume")
     number = case_scan.bracket_parts(F.element_at("brackets", 1))[0].cast("long")
-    return found.select("volume", "start_line", number.alias("case_id")).join(mended, ["volume", "start_line"]).select("volume", "case_id", "start_line", "end_line")
+    return found.select("volume", "start_line", number.alias("case_id")).join(mended.hint("merge"), ["volume", "start_line"]).select("volume", "case_id", "start_line", "end_line")

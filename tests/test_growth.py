@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from foliograph.operators import boundaries
-from foliograph.plans import evidence
+from foliograph.plans import evidence, parsing
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,3 +19,8 @@ def test_lines_are_not_broadcast(spark):
     known = rows.select("vol", (F.col("i") * 20 + 1).alias("start_line"), (F.col("i") * 20 + 20).alias("end_line"))
     for df in (evidence.fsm3(spark, SF), boundaries.displaced_endings(lines, known, "vol"), evidence.fsm6(spark, SF)):
         assert "BroadcastHashJoin" not in plan(df)
+
+
+def test_cases_are_numbered_before_their_lines_are_made(spark):
+    got = plan(parsing.volume_lines(spark, SF))
+    assert got.index("Generate") < got.index("Window")  # the plan is printed from its end
