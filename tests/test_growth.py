@@ -1,8 +1,10 @@
 """Steps that grow with the tables: what they shuffle, broadcast and hand to Python."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from foliograph.operators import boundaries
+from foliograph.operators import behaviour, boundaries
 from foliograph.plans import evidence, parsing
 
 SF = "/root/testdata/sf0.001"
@@ -12,6 +14,29 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pairs_without_shared_cases_are_not_shuffled(spark, monkeypatch):
+    """Pairs come from blocks of members, in any number of blocks, with and without windows."""
+    monkeypatch.setattr(behaviour, "BLOCK", 3, raising=False)
+    draw = random.Random(3)
+    rows = [(k, case, draw.randrange(25), draw.choice(["majority", "dissent"])) for k in range(2) for case in range(30) for _ in range(4)]
+    rows += [(0, 99, None, "dissent"), (0, 99, 30, "dissent"), (0, 100, 30, "dissent")]
+    df = spark.createDataFrame(rows, "k int, case_id int, member int, role string")
+    for by in ((), ("k",)):
+        want = {}
+        for k in (range(2) if by else [None]):
+            own = [r for r in rows if r[3] == "dissent" and r[2] is not None and k in (None, r[0])]
+            n, sets = {}, {}
+            for w, case, m, _ in own:
+                n[m] = n.get(m, 0) + 1
+                sets.setdefault(m, set()).add(case)
+            some = sorted(m for m in n if n[m] >= 2)
+            want |= {(*([k] if by else []), a, b): (n[a], n[b], len(sets[a] & sets[b])) for a in some for b in some if a < b}
+        got = behaviour.co_dissent(df, 2, by)
+        assert {(*(r[c] for c in by), r.member_a, r.member_b): (r.dissents_a, r.dissents_b, r.co_dissent_count) for r in got.collect()} == want
+        assert any(x[2] == 0 for x in want.values())
+    assert "(member_a" not in "".join(x for x in plan(behaviour.co_dissent(df, 2)).splitlines() if "BroadcastNestedLoopJoin" in x)
+
+
 def test_lines_are_not_broadcast(spark):
     """Rendered lines look as small as the table that they come from, however many they are."""
     rows = evidence.blocks(spark, SF)
