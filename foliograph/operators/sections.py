@@ -1,12 +1,15 @@
 """Sections of a case: parties, syllabus, counsel, author, decision, votes, opinions.
 
-What each line looks like is found by column expressions; only those flags, in order, go to a grouped function that
-reads one case at a time. A case is a few thousand lines at most, so groups don't grow with the collection.
+What each line looks like is found by column expressions. A case becomes one row with the flags of its lines as bits, in
+order, and a function reads such rows in batches. A case is a few thousand lines at most, so rows don't grow with the
+collection.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +25,10 @@ SCHEMA = "label string, start_line int, end_line int"
 class _Case:
     """The lines of one case, by place; each method finds the places of one section."""
 
-    def __init__(self, rows: pd.DataFrame):
-        self.no = rows["line_no"].tolist()
-        self.is_ = {c[3:]: rows[c].tolist() for c in rows.columns if c.startswith("is_")}
-        self.size = rows["size"].tolist()
-        self.n = len(self.no)
+    def __init__(self, no: list[int], size: list[int], bits: list[int], kinds: list[str]):
+        self.no, self.size = no, size
+        self.is_ = {kind: [b >> k & 1 for b in bits] for k, kind in enumerate(kinds)}
+        self.n = len(no)
 
     def first(self, kind: str, since: int = 0, until: int | None = None) -> int | None:
         return next((i for i in range(since, self.n if until is None else until) if self.is_[kind][i]), None)
@@ -150,16 +152,25 @@ def sections(lines: DataFrame, volume: str = "volume", case: str = "case_id") ->
 
     Page marks and running titles are left out first. A case without lines has no sections.
     """
-    marked = lines.select(volume, case, "line_no", F.length("line").alias("size"), (era(F.col(volume)) == "era2").alias("second"), *[c.alias(n) for n, c in flags(F.col("line"), era(F.col(volume))).items()])
-    marked = marked.where("NOT is_page AND NOT is_volume")
-
-    def read(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("line_no")
-        found = _Case(group).sections(bool(group["second"].iloc[0]))
-        out = pd.DataFrame(found, columns=["label", "start_line", "end_line"])
-        out.insert(0, case, group[case].iloc[0])
-        out.insert(0, volume, group[volume].iloc[0])
-        return out
-
-    kinds = ", ".join(f"{c} {lines.schema[c].dataType.simpleString()}" for c in (volume, case))
-    return marked.groupBy(volume, case).applyInPandas(read, f"{kinds}, {SCHEMA}")
+    found = flags(F.col("line"), era(F.col(volume)))
+    left_out = [found.pop(f"is_{kind}") for kind in ("page", "volume")]
+    kinds = [name.removeprefix("is_") for name in found]
+    bits = sum((F.when(c, F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(found.values())), F.lit(0)).cast("long")
+    marked = lines.where(~left_out[0] & ~left_out[1]).select(volume, case, F.struct(F.col("line_no").cast("long").alias("no"), F.coalesce(F.length("line"), F.lit(0)).alias("size"), bits.alias("bits")).alias("x"))
+    whole = marked.groupBy(volume, case).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    whole = whole.select(volume, case, (era(F.col(volume)) == "era2").alias("second"), *[F.col(f"xs.{c}").alias(c) for c in ("no", "size", "bits")])
+    names = ["label", "start_line", "end_line"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places = [], []
+            for i, (second, no, size, bits) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(2, 6)))):
+                own = _Case(no, size, bits, kinds).sections(bool(second))
+                rows += own
+                places += [i] * len(own)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((), (), ()), (pa.string(), pa.int32(), pa.int32()))]
+            keys = [batch.column(k).take(pa.array(places, pa.int64())) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*keys, *columns], [volume, case, *names])
+
+    keys = ", ".join(f"`{c}` {lines.schema[c].dataType.simpleString()}" for c in (volume, case))
+    return whole.mapInArrow(read, f"{keys}, {SCHEMA}")

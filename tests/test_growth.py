@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import behaviour, boundaries
+from foliograph.operators import behaviour, boundaries, sections
 from foliograph.plans import evidence, parsing
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +49,11 @@ def test_lines_are_not_broadcast(spark):
 def test_cases_are_numbered_before_their_lines_are_made(spark):
     got = plan(parsing.volume_lines(spark, SF))
     assert got.index("Generate") < got.index("Window")  # the plan is printed from its end
+
+
+def test_sections_are_read_by_rows(spark):
+    """No grouped function, whose cost is that of a pandas frame for each case."""
+    df = sections.sections(parsing.case_lines(spark, SF))
+    assert "FlatMapGroupsInPandas" not in plan(df)
+    some = spark.createDataFrame([(None, None, 1, "FIRST DIVISION"), (None, None, 2, None), (7, 1, 2, "EN BANC"), (7, 1, 1, "--- Page 7 ---"), (7, 2, 1, "--- Page 8 ---")], "volume int, case_id long, line_no int, line string")
+    assert sorted((tuple(r) for r in sections.sections(some).collect()), key=str) == [(7, 1, "division", 2, 2), (None, None, "division", 1, 1)]
