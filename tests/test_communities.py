@@ -149,3 +149,12 @@ def test_cases_across_communities(spark, members):
     for (step, track, bloc), listed in table.items():
         own = sorted(n for (_, n), (t, s) in of.items() if (t, s) == (track, step) and ("Unknown" if n >= 30 else ("odd" if n % 2 else "even")) == bloc)
         assert listed == "; ".join(map(str, own))
+
+
+def test_rounds_write_nodes_not_links(spark, graphs, monkeypatch):
+    """Links are written once, in one direction; what a round writes is a row a node, or the links between communities."""
+    sizes, write = [], communities.tabled
+    monkeypatch.setattr(communities, "tabled", lambda df: (lambda t: sizes.append(t.count()) or t)(write(df)))
+    found = communities.communities(spark.createDataFrame(graphs, EDGES))
+    assert found.count() == 140
+    assert max(sizes) < 2 * len(graphs)
