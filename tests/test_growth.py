@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import behaviour, boundaries, sections
+from foliograph.operators import behaviour, boundaries, network, sections
 from foliograph.plans import evidence, parsing
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +58,10 @@ def test_sections_are_read_by_rows(spark):
     assert "FlatMapGroupsInPandas" not in plan(df)
     some = spark.createDataFrame([(None, None, 1, "FIRST DIVISION"), (None, None, 2, None), (7, 1, 2, "EN BANC"), (7, 1, 1, "--- Page 7 ---"), (7, 2, 1, "--- Page 8 ---")], "volume int, case_id long, line_no int, line string")
     assert sorted((tuple(r) for r in sections.sections(some).collect()), key=str) == [(7, 1, "division", 2, 2), (None, None, "division", 1, 1)]
+
+
+def test_pairs_of_cases_are_made_in_many_tasks(spark):
+    """Elements are few where their pairs are many: their tasks aren't merged."""
+    rows = spark.createDataFrame([(case, m, "majority") for case in range(40) for m in range(3)], "case_id int, member int, role string")
+    pairs = network.joint_pairs(rows, "majority")
+    assert pairs.rdd.getNumPartitions() == 4 and pairs.count() == 120
