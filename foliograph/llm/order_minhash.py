@@ -12,7 +12,9 @@ What the links found so far join is a part. A larger bucket whose members are al
 the others, those that matched the leader as well as those that didn't, are dealt anew by ``AGAIN`` sketches of twice
 as many shingles, which only more similar texts share, and so on until no larger bucket holds several parts; sketches
 of whole texts are the last, which different texts don't share. A text makes a fixed number of rows a deal, and no
-step lists the pairs of a large bucket. What this misses is measured: see README and the tests.
+deal lists the pairs of a large bucket. Large buckets of the first deal that still hold several parts are then settled
+exactly: all pairs of their texts from different parts meet that share one of their rarest shingles where texts so
+similar have to (``_met``). So texts that share a bucket are compared or in one class, whatever the bucket's size.
 
 Texts of one to four words have one shingle, all their words. A null or wordless text is in a class of its own, as is
 any row with a null id. Rows that occur again fall in one class; different texts with one id are told apart. Other
@@ -38,6 +40,8 @@ SKETCHES, PICKED = 20, 4
 AGAIN = 16
 #: Members of a bucket up to which all of them are compared; larger ones have a leader.
 FEW = 32
+#: Counters of shingles, by which rare ones come first; when these are many more, the order is less sharp but as exact.
+CELLS = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -229,6 +233,50 @@ def _sketched_again(texts: DataFrame, prints: DataFrame, picked: int) -> DataFra
     return again.select(F.explode("hs").alias("h"), "u").distinct()
 
 
+def _met(texts: DataFrame, prints: DataFrame) -> DataFrame:
+    """(c, u): all pairs of ``texts`` (u, part) from different parts that can reach ``SIMILARITY``; exact.
+
+    Such texts of n and m shingles have L >= 4 (n + m) / 9 labelled shingles in common. In any one order of shingles the
+    first common one has L of each text's from there on, so it is within the first fifth of both. Rare ones come first,
+    so texts that differ more than that hardly meet.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for p in batch.column(0):
+                np.add.at(n, labelled_by_occurrence(_kmers(p)) % np.uint64(CELLS), 1)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["cell", "n"])
+
+    held = durable(texts.join(prints, "u").select("u", "part", "print"))
+    found = held.select("print").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(CELLS, np.int64)
+    often[found["cell"].to_numpy()] = found["n"].to_numpy()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for u, part, p in zip(*batch.columns):
+                k = labelled_by_occurrence(_kmers(p))
+                n = len(k)
+                some = n - (8 * n + 9) // 10 + 1
+                first = k[np.lexsort((k, often[k % np.uint64(CELLS)]))[:some]]
+                same = [pa.array(np.full(some, x.as_py())) for x in (u, part)]
+                yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), *same, pa.array(np.full(some, n)), pa.array(n - np.arange(some))], ["t", "u", "part", "n", "left"])
+
+    rows = held.mapInArrow(rarest, "t long, u long, part long, n long, left long")
+    x, y = rows.alias("x"), rows.alias("y")
+    # the whole condition stands in the join: pairs that can't be similar enough never are rows
+    fit = F.expr("x.t = y.t AND x.part < y.part AND 10 * least(x.n, y.n) >= 8 * greatest(x.n, y.n) AND 9 * least(x.left, y.left) >= 4 * (x.n + y.n)")
+    return x.join(y, fit).select(F.col("x.u").alias("c"), F.col("y.u").alias("u")).distinct()
+
+
+def _mixed(parted: DataFrame) -> DataFrame:
+    """Rows (h, u, part) of buckets with several parts."""
+    several = parted.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("h")
+    return parted.join(several, "h", "left_semi")
+
+
 def _with_part(rows: DataFrame, node: str, joined: DataFrame, part: str) -> DataFrame:
     """``rows`` with the part that ``node`` is in: its component, or itself if it has no link."""
     return rows.join(joined.withColumnsRenamed({"node": node, "component": part}), node, "left").withColumn(part, F.coalesce(part, node))
@@ -255,7 +303,7 @@ def _linked(texts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame
     rows = durable(rows.join(sizes, "h"), True)
     heavy = durable(rows.groupBy("u").agg(F.sum("size").alias("weight"), F.first("n").alias("n")), True)
     prints = durable(_prints(docs, key, text, texts.join(heavy.select("u"), "u", "left_semi").select("id", "same", "u")))
-    rows, joined, picked = rows.select("h", "u"), None, PICKED
+    rows, joined, held, picked = rows.select("h", "u"), None, None, PICKED
     while True:
         members = durable(rows.join(_buckets(rows, heavy), "h"), True)
         led = members.where((F.col("size") > FEW) & (F.col("u") != F.col("c"))).select("c", "u")
@@ -269,12 +317,19 @@ def _linked(texts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame
         elif not got.isEmpty():
             joined = durable(components(joined.union(got)), True)
         parted = _with_part(members.where(F.col("size") > FEW), "u", joined, "part")
-        mixed = parted.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("h")
-        opened = durable(parted.join(mixed, "h", "left_semi").select("u").distinct(), True)
+        mixed = durable(_mixed(parted).select("h", "u"), True)
+        if held is None:
+            held = mixed
+        opened = durable(mixed.select("u").distinct(), True)
         if opened.isEmpty():
-            return joined
+            break
         picked *= 2
         rows = durable(_sketched_again(opened, prints, picked), True)
+    left = durable(_mixed(_with_part(held, "u", joined, "part")).select("u", "part").distinct(), True)
+    if left.isEmpty():
+        return joined
+    got = durable(_similar(_met(left, prints), prints), True)
+    return joined if got.isEmpty() else durable(components(joined.union(got)), True)
 
 
 def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:

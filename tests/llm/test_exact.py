@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliograph.llm import bpe_dp, order_minhash, packing, pii, rp_forest, text_stats, token_count
@@ -152,6 +153,35 @@ def test_near_duplicates_chained(spark):
     assert got == brute_classes(texts) and set(got.values()) == {0}
 
 
+def test_near_duplicates_of_large_mixed_buckets(spark, monkeypatch):
+    """Texts around one base of which about a fifth of the pairs are links: no link inside a large bucket is left out."""
+    draw = random.Random(11)
+    base = [f"c{draw.randrange(10**9)}" for _ in range(200)]
+    texts = {}
+    for i in range(150):
+        words = list(base)
+        for _ in range(draw.randint(2, 9)):
+            words[draw.randrange(len(words))] = f"e{draw.randrange(10**9)}"
+        texts[i] = " ".join(words)
+    monkeypatch.setattr(order_minhash, "FEW", 4)
+    monkeypatch.setattr(order_minhash, "AGAIN", 1)  # deals that miss much: of one sketch
+    sketched = order_minhash._sketched
+    monkeypatch.setattr(order_minhash, "_sketched", lambda *a: sketched(*a).withColumn("sketches", F.slice("sketches", 1, 1)))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    shared, prints = {}, {i: order_minhash.shingles(order_minhash.word_hashes(t.encode().split())) for i, t in texts.items()}
+    for i, k in prints.items():
+        shared.setdefault(int(order_minhash.sketches(order_minhash.labelled_by_occurrence(k))[0]), set()).add(i)
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(rows).collect()}
+    links = {(a, b) for m in shared.values() for a in m for b in m if a < b and order_minhash.aligned(prints[a], prints[b]) >= 0.8}
+    assert len(links) > 30 and not [x for x in links if got[x[0]] != got[x[1]]]
+    for cells in (1, 1 << 20):  # any order of shingles finds all links between parts
+        monkeypatch.setattr(order_minhash, "CELLS", cells)
+        own = spark.createDataFrame([(i, i) for i in texts], "u long, part long")
+        given = spark.createDataFrame([(i, bytearray(order_minhash.word_hashes(t.encode().split()).astype(np.uint32).tobytes())) for i, t in texts.items()], "u long, print binary")
+        met = {(min(r), max(r)) for r in order_minhash._met(own, given).collect()}
+        assert met >= {(a, b) for a in texts for b in texts if a < b and order_minhash.aligned(prints[a], prints[b]) >= 0.8}
+
+
 def test_near_duplicates_edges(docs, empty):
     rows = order_minhash.near_duplicates(docs).collect()
     assert len(rows) == docs.count()
