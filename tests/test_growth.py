@@ -4,8 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import behaviour, boundaries, network, sections
-from foliograph.plans import evidence, parsing
+from foliograph.operators import behaviour, boundaries, network, sections, steps
+from foliograph.plans import checks, evidence, parsing
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +65,13 @@ def test_pairs_of_cases_are_made_in_many_tasks(spark):
     rows = spark.createDataFrame([(case, m, "majority") for case in range(40) for m in range(3)], "case_id int, member int, role string")
     pairs = network.joint_pairs(rows, "majority")
     assert pairs.rdd.getNumPartitions() == 4 and pairs.count() == 120
+
+
+def test_tasks_of_votes_grow_with_lines(spark, monkeypatch):
+    """Votes are dealt by case, in tasks of so many lines; the results stay."""
+    few = sorted(map(tuple, checks.fsm16(spark, SF).collect()))
+    monkeypatch.setattr(steps, "ROWS", 500)
+    got = checks.fsm16(spark, SF)
+    tasks = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500)
+    assert tasks > 4 and plan(got).count(f", {tasks}), REPARTITION_BY_NUM") == 2, plan(got)
+    assert sorted(map(tuple, got.collect())) == few
