@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from foliograph.operators import behaviour, boundaries, network, sections, steps
-from foliograph.plans import checks, evidence, parsing
+from foliograph.plans import base, checks, court, evidence, graph, older, parsing, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,3 +75,21 @@ def test_tasks_of_votes_grow_with_lines(spark, monkeypatch):
     tasks = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500)
     assert tasks > 4 and plan(got).count(f", {tasks}), REPARTITION_BY_NUM") == 2, plan(got)
     assert sorted(map(tuple, got.collect())) == few
+
+
+def dealings(df, to):
+    """Shuffles into so many tasks, and those into as many as the session has."""
+    text = plan(df)
+    return text.count(f", {to}), REPARTITION_BY_NUM"), text.count("ENSURE_REQUIREMENTS")
+
+
+def test_pairs_of_agreement_are_dealt(spark, monkeypatch):
+    """Votes stay where they were dealt by case, and pairs are dealt in tasks of so many; the results stay."""
+    want = sorted(map(tuple, court.agg25(spark, SF).collect()))
+    monkeypatch.setattr(steps, "ROWS", 500)
+    df = court.agg25(spark, SF)
+    tasks = -(-2 * base.n_votes(spark, SF) // 500)
+    assert dealings(df, tasks)[0] == 1
+    assert sorted(map(tuple, df.collect())) == want
+    monkeypatch.setattr(base, "MEMBERS", 5)
+    assert sorted(map(tuple, court.agg25(spark, SF).collect())) == want
