@@ -1,11 +1,14 @@
 """Steps that grow with the tables: what they shuffle, broadcast and hand to Python."""
 
 import random
+import re
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from foliograph.operators import behaviour, boundaries, network, sections, steps
-from foliograph.plans import base, checks, court, evidence, graph, older, parsing, quality
+from foliograph.plans import base, checks, court, evidence, graph, older, parsing, quality, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +96,21 @@ def test_pairs_of_agreement_are_dealt(spark, monkeypatch):
     assert sorted(map(tuple, df.collect())) == want
     monkeypatch.setattr(base, "MEMBERS", 5)
     assert sorted(map(tuple, court.agg25(spark, SF).collect())) == want
+
+
+@pytest.mark.parametrize(
+    "name,times",
+    [("fsm7_vote_statements", 0)],
+)
+def test_what_votes_make_is_dealt(spark, monkeypatch, name, times):
+    """Once votes are dealt, no shuffle into a set number of tasks has their rows or their pairs; the results stay."""
+    query = registry.QUERIES[name]
+    want = sorted(map(tuple, query(spark, SF).collect()), key=str)
+    monkeypatch.setattr(steps, "ROWS", 500)
+    df, n = query(spark, SF), base.n_votes(spark, SF)
+    if times:
+        assert dealings(df, -(-times * n // 500))[0], plan(df)
+    keyed = re.findall(r"hashpartitioning\(([^,]*),.*ENSURE_REQUIREMENTS", plan(df))
+    # members, nations and windows are few; rows of cases and their pairs aren't
+    assert not [k for k in keyed if k.startswith(("case_id", "source", "member_a", "a#"))], plan(df)
+    assert sorted(map(tuple, df.collect()), key=str) == want
