@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from foliograph.functions import fields
 from foliograph.operators import records
-from foliograph.plans.base import PRELUDE, cases, table, votes
+from foliograph.operators.steps import dealt
+from foliograph.plans.base import PRELUDE, cases, n_votes, table, votes
 from foliograph.plans.registry import query
 
 
@@ -205,4 +206,6 @@ def jn7(spark, sf_dir):
     in_office = (F.date_sub("s", 365) <= F.col("date")) & (F.col("date") <= F.date_add("e", 730))
     # the best candidate is a grouped minimum, which is combined before its shuffle
     best = F.min_by("member", F.struct((~in_office).alias("out"), (-F.unix_date("s")).alias("late"), "member"))
-    return asked.join(terms, "name").groupBy("case_id", "name").agg(best.alias("member"))
+    # dealt by name on both sides, where the groups by case and name are, too
+    n = n_votes(spark, sf_dir)
+    return dealt(asked, n, "name").join(dealt(terms, n, "name"), "name").groupBy("case_id", "name").agg(best.alias("member"))
