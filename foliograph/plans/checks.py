@@ -6,8 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliograph.operators import names
-from foliograph.plans.base import PRELUDE, cases, members, table, votes
-from foliograph.plans.court import placed
+from foliograph.operators.steps import dealt
+from foliograph.operators.windows import SPAN, unfolded
+from foliograph.plans.base import PRELUDE, cases, members, n_votes, table, votes
+from foliograph.plans.court import placed, spanned
 from foliograph.plans.registry import query
 from foliograph.plans.text import LINES, doc_lines
 
@@ -166,11 +168,15 @@ def win10(spark, sf_dir):
 )
 def win8(spark, sf_dir):
     """Mean over communities of the best Jaccard with one of the window before, over members of both."""
-    com = F.when(F.count_if(F.col("role") == "dissent") * 4 >= F.count("*"), "x").otherwise(F.first("bloc"))
-    c = placed(spark, sf_dir).groupBy("k", "member").agg(com.alias("com"))
-    shared = c.withColumnRenamed("com", "cur").join(c.select((F.col("k") + 1).alias("k"), "member", F.col("com").alias("prev")), ["k", "member"])
+    # dealt by member, by which counts by span, those by window and the window before are all found
+    v = dealt(spanned(spark, sf_dir).select("member", "role", "bloc", *SPAN), n_votes(spark, sf_dir), "member")
+    counts = v.groupBy("member", *SPAN).agg(F.count("*").alias("n"), F.count_if(F.col("role") == "dissent").alias("d"), F.first("bloc").alias("bloc"))
+    com = F.when(F.sum("d") * 4 >= F.sum("n"), "x").otherwise(F.first("bloc"))
+    c = unfolded(counts).groupBy("k", "member").agg(com.alias("com"))
+    w = Window.partitionBy("member").orderBy("k")
+    shared = c.where("member IS NOT NULL").select("k", F.col("com").alias("cur"), F.lag("k").over(w).alias("k_prev"), F.lag("com").over(w).alias("prev")).where("k_prev = k - 1")
     n = shared.groupBy("k", "cur", "prev").agg(F.count("*").alias("both"))
-    n = n.join(n.groupBy("k", "cur").agg(F.sum("both").alias("n_cur")), ["k", "cur"]).join(n.groupBy("k", "prev").agg(F.sum("both").alias("n_prev")), ["k", "prev"])
+    n = n.withColumns({f"n_{c}": F.sum("both").over(Window.partitionBy("k", c)) for c in ("cur", "prev")}).where("cur IS NOT NULL AND prev IS NOT NULL")
     best = n.groupBy("k", "cur").agg(F.max(F.col("both") / (F.col("n_cur") + F.col("n_prev") - F.col("both"))).alias("best"))
     return best.groupBy("k").agg(F.round(F.avg("best"), 4).alias("stability"))
 
