@@ -117,7 +117,7 @@ def agg25(spark, sf_dir):
 
 @query("agg27_agreement_windowed", PRELUDE + AGREEMENT.format(by="k,", rows="placed", abys="a.k,", on="AND a.k = b.k", least=5, fby="k,", ona="AND ra.k = q.k", onb="AND rb.k = q.k"))
 def agg27(spark, sf_dir):
-    return behaviour.agreement(placed(spark, sf_dir), 5, ("k",))
+    return behaviour.agreement(spanned(spark, sf_dir), 5, ("k",), SPAN, unfolded, n_votes(spark, sf_dir))
 
 
 COMBOS = {"all": "true", "full": "division = 'F'", "open": "division = 'O'", "urgent": "priority = '1-URGENT'"}
