@@ -58,16 +58,17 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def four_way(before: DataFrame, after: DataFrame) -> DataFrame:
     """Spans (case_id, label, s, e) told apart: exact, label_changed (same place), removed, added; a row each.
 
-    Spans are distinct within a side; a span with several partners of another label counts once per side.
+    Spans are distinct within a side; a span with several partners of another label counts once per side. Both sides go
+    through two windows that have the case among their keys: if they are dealt by case they aren't shuffled.
     """
-    on = ["case_id", "label", "s", "e"]
-    exact = before.join(after, on, "left_semi").withColumn("kind", F.lit("exact"))
-    gone, new = before.join(after, on, "left_anti"), after.join(before, on, "left_anti")
-    place = ["case_id", "s", "e"]
-    moved = gone.join(new.select(place).distinct(), place, "left_semi").select(*on).withColumn("kind", F.lit("label_changed"))
-    removed = gone.join(new.select(place).distinct(), place, "left_anti").select(*on).withColumn("kind", F.lit("removed"))
-    added = new.join(gone.select(place).distinct(), place, "left_anti").select(*on).withColumn("kind", F.lit("added"))
-    return exact.select(*on, "kind").union(moved).union(removed).union(added)
+    on, place = ["case_id", "label", "s", "e"], ["case_id", "s", "e"]
+    known = lambda keys: F.forall(F.array(*[F.col(k).isNotNull() for k in keys]), lambda x: x)  # noqa: E731  null fits nothing
+    held = lambda test, keys: known(keys) & F.max(test).over(Window.partitionBy(*keys))
+    both = before.select(*on, F.lit(True).alias("old")).union(after.select(*on, F.lit(False).alias("old")))
+    told = both.withColumn("exact", held(F.col("old"), on) & held(~F.col("old"), on))
+    told = told.withColumns({"has_gone": held(~F.col("exact") & F.col("old"), place), "has_new": held(~F.col("exact") & ~F.col("old"), place)})
+    kind = F.when(F.col("old"), F.when(F.col("exact"), "exact").when(F.col("has_new"), "label_changed").otherwise("removed")).when(~F.col("exact") & ~F.col("has_gone"), "added")
+    return told.select(*on, kind.alias("kind")).where("kind IS NOT NULL")
 
 
 def iou(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:

@@ -19,9 +19,10 @@ def five_way(before: DataFrame, after: DataFrame, near: int = NEAR) -> DataFrame
     are the new place. The lists are those of one case and label.
     """
     told = four_way(before, after)
-    rest = told.where("kind IN ('removed', 'added')")
     place = F.struct(F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
-    sides = rest.groupBy("case_id", "label").agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, place))).alias(k) for k in ("removed", "added")])
+    same = F.struct(place["s"].alias("s"), place["e"].alias("e"), place["s"].alias("s2"), place["e"].alias("e2"), F.col("kind").alias("kind"))
+    lists = [F.sort_array(F.collect_list(F.when(F.col("kind") == k, place))).alias(k) for k in ("removed", "added")]
+    sides = told.groupBy("case_id", "label").agg(*lists, F.collect_list(F.when(~F.col("kind").isin("removed", "added"), same)).alias("kept"))
     empty = F.expr("CAST(array() AS array<struct<s: bigint, e: bigint, s2: bigint, e2: bigint>>)")
 
     def take(state, span):
@@ -31,9 +32,9 @@ def five_way(before: DataFrame, after: DataFrame, near: int = NEAR) -> DataFrame
         row = F.struct(span["s"].alias("s"), span["e"].alias("e"), best["s"].alias("s2"), best["e"].alias("e2"))
         return F.struct(left.alias("free"), F.array_append(state["out"], row).alias("out"))
 
-    walked = sides.select("case_id", "label", F.aggregate("removed", F.struct(F.col("added").alias("free"), empty.alias("out")), take).alias("w"))
-    own = walked.select("case_id", "label", F.inline("w.out")).withColumn("kind", F.when(F.col("s2").isNull(), "removed").otherwise("span_adjusted"))
+    walked = sides.select("case_id", "label", "kept", F.aggregate("removed", F.struct(F.col("added").alias("free"), empty.alias("out")), take).alias("w"))
+    own = F.transform("w.out", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["s2"].alias("s2"), x["e2"].alias("e2"), F.when(x["s2"].isNull(), "removed").otherwise("span_adjusted").alias("kind")))
     none = F.lit(None).cast("long")
-    new = walked.select("case_id", "label", F.inline("w.free")).select("case_id", "label", none.alias("s"), none.alias("e"), F.col("s").alias("s2"), F.col("e").alias("e2"), F.lit("added").alias("kind"))
-    kept = told.where("kind NOT IN ('removed', 'added')").select("case_id", "label", F.col("s").cast("long"), F.col("e").cast("long"), F.col("s").cast("long").alias("s2"), F.col("e").cast("long").alias("e2"), "kind")
-    return kept.unionByName(own).unionByName(new)
+    new = F.transform("w.free", lambda x: F.struct(none.alias("s"), none.alias("e"), x["s"].alias("s2"), x["e"].alias("e2"), F.lit("added").alias("kind")))
+    # a row for each list first: a list made inside the generator would be made again for each of its rows
+    return walked.select("case_id", "label", F.explode(F.array("kept", own, new)).alias("rows")).select("case_id", "label", F.inline("rows"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliograph.operators import first_regex, span_changes, span_scores
-from foliograph.plans.base import PRELUDE, cases, table
+from foliograph.operators.steps import dealt
+from foliograph.plans.base import PRELUDE, cases, n_votes, table
 from foliograph.plans.registry import query
 
 TEXTS = PRELUDE + """, x AS (SELECT case_id, strftime(d, '%B %-d, %Y') AS day, 'Customer ' || party || ', petitioner, vs. STATE, respondent.' AS who, case_id % 3 = 1 AS short, case_id % 5 = 0 AS split FROM cases),
@@ -68,7 +69,8 @@ def fsm10_labels(spark, sf_dir):
 )
 def set6_five(spark, sf_dir):
     """Spans of lines that stay, go, or move by up to 299 characters."""
-    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("label")).agg((F.min("l_partkey") % 300).alias("d"), F.min("l_returnflag").alias("flag"))
+    lines = dealt(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("label"), "l_partkey", "l_returnflag"), n_votes(spark, sf_dir), "case_id")
+    rows = lines.groupBy("case_id", "label").agg((F.min("l_partkey") % 300).alias("d"), F.min("l_returnflag").alias("flag"))
     place = lambda s: [s.alias("s"), (s + 50).alias("e")]
     start = F.col("label").cast("long") * 1000
     before = rows.select("case_id", "label", *place(start))

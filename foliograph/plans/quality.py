@@ -161,7 +161,7 @@ def snk2(spark, sf_dir):
 def set6(spark, sf_dir):
     start = (F.col("l_linenumber") * 10).alias("s")
     label = F.col("l_linenumber").alias("label")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"), n_votes(spark, sf_dir), "l_orderkey")
     place = [F.col("l_orderkey").alias("case_id"), start, (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int")).alias("e")]
     before = lines.where("l_returnflag <> 'A'").select(label, *place).distinct()
     after = lines.where("l_returnflag <> 'N'").select(F.when(F.col("l_linenumber") >= 4, F.col("l_linenumber") + 100).otherwise(F.col("l_linenumber")).alias("label"), *place).distinct()
