@@ -54,7 +54,8 @@ round(count(*) FILTER (hit) / count(*), 4) AS recall, round(2 * count(*) FILTER
 @query("fsm10_label_scores", SPANS)
 def fsm10_labels(spark, sf_dir):
     """Spans of lines against ones that are moved, for a place, a text and a grouped label whose even groups are misnumbered."""
-    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("ord")).agg((F.min("l_partkey") % 45).alias("d"), F.min("l_returnflag").alias("flag"))
+    lines = dealt(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("ord"), "l_partkey", "l_returnflag"), n_votes(spark, sf_dir), "case_id")
+    rows = lines.groupBy("case_id", "ord").agg((F.min("l_partkey") % 45).alias("d"), F.min("l_returnflag").alias("flag"))
     rows = rows.withColumns({"label": F.explode(F.array(*map(F.lit, ("start_of_case", "date", "parties")))), "s": F.col("ord").cast("long") * 100})
     truth = rows.select("case_id", "label", "ord", F.col("ord").alias("grp"), "s", (F.col("s") + 50).alias("e"))
     group = F.when(F.col("ord") % 2 == 0, F.col("ord") + 1).otherwise(F.col("ord"))

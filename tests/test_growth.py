@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from foliograph.operators import behaviour, boundaries, network, sections, steps
+from foliograph.operators import behaviour, boundaries, case_scan, network, sections, steps
 from foliograph.plans import base, checks, court, evidence, graph, older, parsing, quality, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -100,7 +100,7 @@ def test_pairs_of_agreement_are_dealt(spark, monkeypatch):
 
 @pytest.mark.parametrize(
     "name,times",
-    [("fsm7_vote_statements", 0), ("agg19_edges_by_rule", 2), ("agg19_covoting_edges", 2), ("sj1_majority_pairs", 2), ("fsm14_window_edges", 2), ("agg27_agreement_windowed", 2), ("jn7_member_in_office", 1), ("win8_stability", 1), ("set6_five_way_diff", 1), ("set6_four_way_diff", 1)],
+    [("fsm7_vote_statements", 0), ("agg19_edges_by_rule", 2), ("agg19_covoting_edges", 2), ("sj1_majority_pairs", 2), ("fsm14_window_edges", 2), ("agg27_agreement_windowed", 2), ("jn7_member_in_office", 1), ("win8_stability", 1), ("set6_five_way_diff", 1), ("set6_four_way_diff", 1), ("fsm10_label_scores", 1)],
 )
 def test_what_votes_make_is_dealt(spark, monkeypatch, name, times):
     """Once votes are dealt, no shuffle into a set number of tasks has their rows or their pairs; the results stay."""
