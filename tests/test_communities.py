@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from foliograph.operators import communities
+from foliograph.plans import graph
 
 EDGES = "k int, source int, target int, weight long"
 
@@ -158,3 +159,40 @@ def test_rounds_write_nodes_not_links(spark, graphs, monkeypatch):
     found = communities.communities(spark.createDataFrame(graphs, EDGES))
     assert found.count() == 140
     assert max(sizes) < 2 * len(graphs)
+
+
+def test_large_graphs_move_in_rounds(spark, graphs, monkeypatch):
+    """Graphs that aren't one group, their links in several packs: by rounds only, and by rounds until they are small."""
+    own = {k: [e[1:] for e in graphs if e[0] == k] for k in (0, 1)}
+    most = {k: max(sequential(own[k], s) for s in range(3)) for k in own}
+    monkeypatch.setattr(communities, "PACK", 300, raising=False)
+    for few in (0, 1000):
+        monkeypatch.setattr(communities, "FEW", few, raising=False)
+        found = communities.communities(spark.createDataFrame(graphs, EDGES)).cache()
+        quality = {r.k: r.q for r in communities.modularity(spark.createDataFrame(graphs, EDGES), found).collect()}
+        assert found.count() == 140 and all(quality[k] >= 0.9 * most[k] for k in own)
+
+
+def test_links_of_a_run_of_graphs(spark, graphs):
+    """A link of all graphs from the first to the last is the same as a row for each; parallel ones add up."""
+    runs = [(min(k, 1), 1 + k, a, b, 1) for k, a, b, w in graphs for _ in range(w)]
+    rows = [(k, a, b, w) for lo, hi, a, b, w in runs for k in range(lo, hi + 1)]
+    got = communities.communities(spark.createDataFrame(runs, "lo int, hi int, source int, target int, weight long"), by=("lo", "hi"))
+    assert set(map(tuple, got.collect())) == set(map(tuple, communities.communities(spark.createDataFrame(rows, EDGES)).collect()))
+
+
+def test_rounds_shuffle_no_links(spark, graphs, monkeypatch):
+    """Links are dealt once; a round reads their packs and shuffles what is wanted for a graph's nodes, as bytes."""
+    monkeypatch.setattr(communities, "FEW", 0)
+    plans, write = [], communities.tabled
+    monkeypatch.setattr(communities, "tabled", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    communities.communities(spark.createDataFrame(graphs, EDGES)).count()
+    rounds = [p for p in plans if "asked(" in p]
+    assert len(rounds) > 5 and all("BroadcastHashJoin" in p for p in rounds)
+
+
+def test_windows_pairs_are_the_windows_edges(spark):
+    """What communities are made of by spans is the graph of each window."""
+    sf = "/root/testdata/sf0.001"
+    by_edges = communities.communities(graph.fsm14(spark, sf))
+    assert set(map(tuple, graph.fsm13(spark, sf).collect())) == set(map(tuple, by_edges.collect()))
