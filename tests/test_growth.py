@@ -114,3 +114,33 @@ def test_what_votes_make_is_dealt(spark, monkeypatch, name, times):
     # members, nations and windows are few; rows of cases and their pairs aren't
     assert not [k for k in keyed if k.startswith(("case_id", "source", "member_a", "a#"))], plan(df)
     assert sorted(map(tuple, df.collect()), key=str) == want
+
+
+def test_pairs_without_shared_cases_cost_little(spark):
+    """Such pairs are runs of places: none is looked up in a set of those taken, and no rate of theirs is rounded."""
+    rows = [(case, draw % 11, "dissent") for case, draw in enumerate(range(60))] + [(case, 3, "dissent") for case in range(9)]
+    got = behaviour.co_dissent(spark.createDataFrame(rows, "case_id int, member int, role string"), 2)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_except" not in text and text.count("round(") == 1, text
+    assert got.count() == 55 and {r.co_dissent_rate for r in got.where("co_dissent_count = 0").collect()} == {0.0}
+
+
+def test_dissents_of_windows_are_paired_once(spark):
+    """Pairs are counted by span and become rows by window as counts; the results are those of a row for each window."""
+    draw = random.Random(4)
+    spans = [(case, draw.randrange(3)) for case in range(40)]
+    rows = [(lo, lo + case % 3, case, draw.randrange(9), "dissent") for case, lo in spans for _ in range(3)]
+    df = spark.createDataFrame(rows, "first int, last int, case_id int, member int, role string")
+    unfold = lambda x: x.withColumn("k", F.explode(F.sequence("first", "last")))
+    got = behaviour.co_dissent(df, 2, ("k",), ("first", "last"), unfold)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, behaviour.co_dissent(unfold(df), 2, ("k",)).collect()))
+
+
+@pytest.mark.parametrize("name", ["jn23_member_communities", "fsm16_cross_community_cases", "agg31_cross_community_summary"])
+def test_votes_meet_communities_where_they_lie(spark, monkeypatch, name):
+    """Votes stay dealt by case where they get their members' tracks; the results stay."""
+    want = sorted(map(tuple, registry.QUERIES[name](spark, SF).collect()))
+    monkeypatch.setattr(steps, "ROWS", 500)
+    df = registry.QUERIES[name](spark, SF)
+    assert not re.findall(r"hashpartitioning\((?:k|step|case_id|node|member)#.*ENSURE_REQUIREMENTS", plan(df).split("BroadcastExchange")[0]), plan(df)
+    assert sorted(map(tuple, df.collect())) == want
